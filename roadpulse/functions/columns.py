@@ -36,6 +36,11 @@ def seconds(ts: Column) -> Column:
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
+def event_time(ts: Column) -> Column:
+    """An instant for watermarks, which need one; reads the zone-free time as UTC."""
+    return F.timestamp_seconds(seconds(ts))
+
+
 def celsius(kelvin: Column) -> Column:
     return kelvin - S.KELVIN_OFFSET
 

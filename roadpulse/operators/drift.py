@@ -36,14 +36,14 @@ def long_counts(combos: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def ks_from_counts(counts: DataFrame) -> DataFrame:
+def ks_from_counts(counts: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
     """Largest distance between the two empirical distributions per feature."""
-    ranked = running_totals(counts, "value", ["n_train", "n_test"], ["feature"])
+    ranked = running_totals(counts, "value", ["n_train", "n_test"], by)
 
     def reached(side: str) -> Column:
         return C.ratio(F.col(f"{side}_before") + F.col(side), F.col(f"{side}_total"))
 
-    return ranked.groupBy("feature").agg(
+    return ranked.groupBy(*by).agg(
         F.max(F.abs(reached("n_train") - reached("n_test"))).alias("ks_statistic"),
         F.max("n_train_total").alias("n_train"),
         F.max("n_test_total").alias("n_test"),

@@ -5,5 +5,7 @@ from roadpulse.plans import (  # noqa: F401
     analysis_queries,
     feature_queries,
     mining_queries,
+    model_queries,
+    stream_queries,
 )
 from roadpulse.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -9,20 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse import schema as S
 from roadpulse.functions import columns as C
 from roadpulse.operators import cleaning, features, series
+from roadpulse.operators.models import load_model, save_model
 from roadpulse.sources.standin import table, traffic_raw
-from roadpulse.sources.storage import stage
+from roadpulse.sources.storage import new_path, stage
 
 # Years present in the test tables; the last one is partial and left out.
 FIRST_YEAR, LAST_YEAR = 1995, 2000
 HOLIDAY_FIRST, HOLIDAY_LAST = 1998, 2000
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
+_saved: dict[tuple[str, str, str], str] = {}
 
 
 def _written_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -36,6 +39,7 @@ def _written_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[
 def forget_tables() -> None:
     """Let the next query write its input tables again (used when timing)."""
     _written.clear()
+    _saved.clear()
 
 
 def raw(spark: SparkSession, sf_dir: str, **years: int) -> DataFrame:
@@ -81,6 +85,40 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lag_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous 24 values with the context features, split by time."""
+    return _written_once(
+        spark,
+        sf_dir,
+        "lag_table",
+        lambda: series.chronological_split(
+            series.lag_features(
+                featured(spark, sf_dir)
+                .withColumn("is_holiday", F.col("is_holiday").cast("int"))
+                .select("corridor", "ts", "traffic_volume", *S.FEATURES)
+            )
+        ),
+    )
+
+
+def fitted(spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
+    """A model, fitted and saved by the first query that needs it and loaded by the others."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _saved:
+        path = new_path(spark, name)
+        save_model(fit(), path)
+        _saved[key] = path
+    return load_model(_saved[key])
+
+
+def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_table(spark, sf_dir).filter("is_train")
+
+
+def test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_table(spark, sf_dir).filter("NOT is_train")
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times people ask about, one per order: ``(corridor, requested)`` as text, some malformed."""
     orders = table(spark, sf_dir, "orders")

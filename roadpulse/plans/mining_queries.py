@@ -24,7 +24,7 @@ def _items(mask: str) -> str:
         f"CASE WHEN {mask} & {bit} > 0 THEN '{name}_' || s.{column} END"
         for name, bit, column in [("time_of_day", 8, "t"), ("day_type", 4, "d"), ("weather", 2, "w"), ("congestion", 1, "c")]
     ]
-    return f"list_sort(list_filter([{', '.join(named)}], x -> x IS NOT NULL))"
+    return f"list_sort(list_filter([{', '.join(named)}], lambda x: x IS NOT NULL))"
 
 
 def _match(mask: str, alias: str) -> str:

@@ -24,6 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError(f"set {_CONF} to a folder all executors can reach")
     own = tempfile.mkdtemp(prefix="roadpulse-")
     spark.conf.set(_CONF, own)
+    spark.sparkContext.setCheckpointDir(own)
     return own
 
 
