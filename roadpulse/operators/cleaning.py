@@ -29,8 +29,14 @@ def standardise_text(df: DataFrame) -> DataFrame:
 
 
 def parse_times(df: DataFrame, column: str = "date_time", into: str = S.TS) -> DataFrame:
-    """Replace the text time by a timestamp, dropping malformed rows."""
-    return df.withColumn(into, C.parse_time(F.col(column))).filter(F.col(into).isNotNull()).drop(column)
+    """Replace the text time by a timestamp, dropping malformed rows.
+
+    The parsed value passes through a one-element ``explode``: filters on it
+    then read the parsed column instead of being rewritten to parse the text
+    again, once per filter.
+    """
+    parsed = F.explode(F.array(C.parse_time(F.col(column))))
+    return df.select("*", parsed.alias(into)).filter(F.col(into).isNotNull()).drop(column)
 
 
 def hourly_from_raw(raw: DataFrame) -> DataFrame:

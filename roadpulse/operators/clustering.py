@@ -7,6 +7,7 @@ k-means on them minimises exactly the same cost as k-means on the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -20,6 +21,7 @@ from roadpulse.sources.storage import stage
 
 CLUSTER_COLUMNS = ["hour", "weather_severity", "traffic_volume"]
 SEEDS = tuple(range(42, 52))
+POINTS_PER_SPLIT = 50_000
 
 
 def cluster_features(featured: DataFrame) -> DataFrame:
@@ -50,7 +52,9 @@ def weighted_points(points: DataFrame, columns: Sequence[str] = tuple(CLUSTER_CO
     """Distinct standardised points with their row counts, written once for all fits."""
     known = points.na.drop(subset=list(columns))
     counts = known.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    return stage(standardise(counts, scale_of(known, columns), columns), "cluster_points")
+    written = stage(standardise(counts, scale_of(known, columns), columns), "cluster_points")
+    # Fits make many short passes: no more splits than the table is worth.
+    return written.coalesce(max(1, math.ceil(written.count() / POINTS_PER_SPLIT)))
 
 
 def assemble(df: DataFrame, columns: Sequence[str] = tuple(CLUSTER_COLUMNS)) -> DataFrame:

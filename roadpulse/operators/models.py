@@ -35,8 +35,10 @@ def _one_file(df: DataFrame, name: str) -> DataFrame:
 
     Iterative fits run hundreds of short passes; on a table bounded by the
     number of feature combinations, more partitions only add task overhead.
+    A shuffle rather than a coalesce, so that the aggregation before it stays
+    spread over all tasks.
     """
-    return stage(df.coalesce(1), name)
+    return stage(df.repartition(1), name)
 
 
 # -- training tables ----------------------------------------------------------

@@ -4,8 +4,8 @@ A series may be one corridor holding a third of the table, so nothing here
 sorts a corridor in one task.  Days are counted first; a running sum over the
 (few thousand) day counts of a corridor tells at which position each day
 starts, and everything else happens inside a day or inside a block of
-consecutive positions.  Inputs hold one row per ``(key, ts)`` with whole-second
-times, which bounds a day at 86,400 rows.
+consecutive days.  Inputs hold one row per ``(key, ts)`` with whole-second
+times, which bounds a day at 86,400 rows and a block at that plus its length.
 """
 
 from __future__ import annotations
@@ -135,14 +135,39 @@ def split_halves(
     )
 
 
+def _day_blocks(df: DataFrame, lookback: int, block: int, key: Sequence[str], ts: str) -> DataFrame:
+    """Which block of consecutive days each day belongs to, and which it leads into.
+
+    A block starts with the first day at or after each multiple of ``block``
+    rows.  A day leads into a later block when fewer than ``lookback`` rows lie
+    between its end and that block's start; as blocks start at least ``block``
+    rows apart on average, only the next two can qualify.
+    """
+    if block < lookback:
+        raise ValueError("block must be at least as long as the look-back")
+    days = _day_offsets(df, key, ts).withColumn("_block", F.floor(F.col("_before") / block))
+    order = Window.partitionBy(*key).orderBy("_block")
+    starts = days.groupBy(*key, "_block").agg(F.min("_before").alias("_start"))
+    for step in (1, 2):
+        starts = starts.withColumn(f"_next_{step}", F.lead("_block", step).over(order)).withColumn(
+            f"_start_{step}", F.lead("_start", step).over(order)
+        )
+    end = F.col("_before") + F.col("_rows")
+    into = [F.struct(F.col("_block").alias("block"), F.lit(True).alias("own"))] + [
+        F.when(
+            F.col(f"_start_{step}") - end < lookback,
+            F.struct(F.col(f"_next_{step}").alias("block"), F.lit(False).alias("own")),
+        )
+        for step in (1, 2)
+    ]
+    return days.join(starts, [*key, "_block"]).select(*key, "_day", F.inline(F.array_compact(F.array(*into))))
+
+
 def _in_blocks(df: DataFrame, lookback: int, block: int, key: Sequence[str], ts: str) -> DataFrame:
-    """Rows by block of positions, each block led by the last rows of the one before."""
-    placed = with_position(df, key, ts)
-    own = F.floor((F.col("position") - 1) / block)
-    last = (F.col("position") - 1) % block >= block - lookback
-    return placed.withColumn("_own", own).withColumn(
-        "_block", F.explode(F.when(last, F.array(own, own + 1)).otherwise(F.array(own)))
-    )
+    """Rows by block, each block led by at least the last ``lookback`` rows before it."""
+    return df.withColumn("_day", F.to_date(ts)).join(
+        _day_blocks(df, lookback, block, key, ts), [*key, "_day"]
+    ).drop("_day")
 
 
 def lag_features(
@@ -155,17 +180,15 @@ def lag_features(
 ) -> DataFrame:
     """Add ``lag_1 .. lag_n`` by row position; rows without full history go.
 
-    All lags share one window.  Its partitions hold at most ``block + lags``
-    rows however long a series is.
+    All lags share one window.  Its partitions hold a block and its lead-in,
+    however long a series is.
     """
-    if block < lags:
-        raise ValueError("block must be at least as long as the look-back")
-    window = Window.partitionBy(*key, "_block").orderBy("position")
+    window = Window.partitionBy(*key, "block").orderBy(ts)
     return (
         _in_blocks(df, lags, block, key, ts)
         .select("*", *[F.lag(value, k).over(window).alias(f"lag_{k}") for k in range(1, lags + 1)])
-        .filter((F.col("_own") == F.col("_block")) & (F.col("position") > lags))
-        .drop("_own", "_block", "position", "series_rows")
+        .filter("own")
+        .drop("own", "block")
         .na.drop(subset=[f"lag_{k}" for k in range(1, lags + 1)])
     )
 
@@ -178,15 +201,29 @@ def sequence_windows(
     key: Sequence[str] = tuple(S.KEY),
     ts: str = S.TS,
 ) -> DataFrame:
-    """``(key, ts, x, y)``: the previous values in time order and the next one."""
-    if block < lookback:
-        raise ValueError("block must be at least as long as the look-back")
-    window = Window.partitionBy(*key, "_block").orderBy("position").rowsBetween(-lookback, -1)
-    return (
+    """``(key, ts, x, y)``: the previous values in time order and the next one.
+
+    A block is gathered as one array and cut into overlapping slices, which is
+    cheaper than a sliding frame that is rebuilt for every row.
+    """
+    row = F.struct(F.col(ts).alias("ts"), "own", F.col(value).cast("double").alias("y"))
+    blocks = (
         _in_blocks(df.select(*key, ts, value), lookback, block, key, ts)
-        .withColumn("x", F.collect_list(F.col(value).cast("double")).over(window))
-        .filter((F.col("_own") == F.col("_block")) & (F.size("x") == lookback))
-        .select(*key, ts, "x", F.col(value).cast("double").alias("y"))
+        .groupBy(*key, "block")
+        .agg(F.array_sort(F.collect_list(row)).alias("_rows"))  # a block and its lead-in
+        .withColumn("_values", F.transform("_rows", lambda r: r["y"]))
+    )
+    at = F.sequence(F.lit(lookback + 1), F.size("_rows"))
+    cut = F.transform(
+        F.when(F.size("_rows") > lookback, at).otherwise(F.array().cast("array<int>")),
+        lambda i: F.struct(
+            F.element_at("_rows", i).alias("row"), F.slice("_values", i - lookback, lookback).alias("x")
+        ),
+    )
+    return (
+        blocks.select(*key, F.explode(cut).alias("_cut"))
+        .filter("_cut.row.own")
+        .select(*key, F.col("_cut.row.ts").alias(ts), F.col("_cut.x").alias("x"), F.col("_cut.row.y").alias("y"))
     )
 
 

@@ -19,19 +19,28 @@ def plausible_temp(df: DataFrame, column: str = "temp") -> DataFrame:
 
 
 def descriptive_stats(df: DataFrame, value: str = S.VOLUME) -> DataFrame:
-    """Mean, median, sample deviation and variance, range and count as one row."""
+    """Mean, median, sample deviation and variance, range and count as one row.
+
+    Everything derives from the counts per distinct value, so the rows are
+    read once.
+    """
     counts = value_counts(df, value)
-    median = quantiles(counts, value, {"median": 0.5})
-    moments = df.agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.var_samp(value).alias("variance"),
+    v, n = F.col(value), F.col("n")
+    sums = counts.agg(
+        F.sum("n").alias("_n"),
+        (F.sum(v * n) / F.sum("n")).alias("mean"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         (F.max(value) - F.min(value)).alias("range"),
     )
-    return moments.crossJoin(F.broadcast(median))  # one row each
+    scatter = counts.crossJoin(F.broadcast(sums)).agg(  # one row
+        F.max("_n").alias("n"),
+        F.max("mean").alias("mean"),
+        C.ratio(F.sum((v - F.col("mean")) * (v - F.col("mean")) * n), F.max("_n") - 1).alias("variance"),
+        *[F.max(c).alias(c) for c in ("min", "max", "range")],
+    )
+    median = quantiles(counts, value, {"median": 0.5})
+    return scatter.withColumn("std", F.sqrt("variance")).crossJoin(F.broadcast(median))  # one row
 
 
 def spread_notes(stats: DataFrame) -> DataFrame:
