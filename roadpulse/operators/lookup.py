@@ -40,59 +40,47 @@ def nearest_record(
     tolerance away; ``n_requests`` says how often the time was asked for, so a
     time asked for by a third of the requests still is one row.
 
-    Requests and observations meet in ``(key, day)`` groups.  Answers across a
-    gap of days come from each day's first and last observation, carried over
-    the short list of days; no corridor is ever sorted as a whole.
+    Requests and observations meet in ``(key, day)`` groups, as bare times.
+    Answers across a gap of days come from each day's first and last
+    observation, carried over the short list of days; no corridor is ever
+    sorted as a whole.  The payload joins last, to the chosen times only.
     ``series`` holds one row per ``(key, ts)``.
     """
     key = list(key)
-    asked = (
-        requests.groupBy(*key, F.col(target).alias("_t"))
-        .agg(F.count(F.lit(1)).alias("n_requests"))
-        .withColumn("_obs", F.lit(None))
-    )
-    observed = series.select(
-        *key, F.col(ts).alias("_t"), F.lit(None).cast("bigint").alias("n_requests"),
-        F.struct(F.col(ts).alias("nearest_ts"), *payload).alias("_obs"),
-    )
-    asked = asked.withColumn("_obs", F.lit(None).cast(observed.schema["_obs"].dataType))
-    both = observed.unionByName(asked).withColumn("_day", F.to_date("_t"))
+    asked = requests.groupBy(F.col(target).alias("_t"), *key).agg(F.count(F.lit(1)).alias("n_requests"))
+    observed = series.select(F.col(ts).alias("_t"), *key, F.lit(None).cast("bigint").alias("n_requests"))
+    is_request = F.col("n_requests").isNotNull()
+    both = observed.unionByName(asked).withColumns({
+        "_day": F.to_date("_t"), "_seen": F.when(~is_request, F.col("_t")),
+    })
 
-    days = both.groupBy(*key, "_day").agg(
-        F.min_by("_obs", F.when(F.col("_obs").isNotNull(), F.col("_t"))).alias("_first"),
-        F.max_by("_obs", F.when(F.col("_obs").isNotNull(), F.col("_t"))).alias("_last"),
-    )
+    days = both.groupBy("_day", *key).agg(F.min("_seen").alias("_first"), F.max("_seen").alias("_last"))
     by_day = Window.partitionBy(*key)
     past = by_day.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     future = by_day.orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
     carried = days.select(
-        *key,
-        "_day",
-        F.last("_last", ignorenulls=True).over(past).alias("_past"),
-        F.last("_first", ignorenulls=True).over(future).alias("_future"),
+        *key, "_day", F.max("_last").over(past).alias("_past"), F.min("_first").over(future).alias("_future")
     )
 
     # At one time the observation sorts ahead of the request in both directions.
-    is_request = F.col("n_requests").isNotNull()
-    in_day = Window.partitionBy(*key, "_day")
+    in_day = Window.partitionBy("_day", *key)
     upto = in_day.orderBy("_t", is_request).rowsBetween(Window.unboundedPreceding, 0)
     after = in_day.orderBy(F.desc("_t"), is_request).rowsBetween(Window.unboundedPreceding, 0)
     answered = (
-        both.join(carried, [*key, "_day"])
-        .withColumn("_before", F.coalesce(F.last("_obs", ignorenulls=True).over(upto), F.col("_past")))
-        .withColumn("_after", F.coalesce(F.last("_obs", ignorenulls=True).over(after), F.col("_future")))
+        both.join(carried, ["_day", *key])
+        .withColumn("_before", F.coalesce(F.max("_seen").over(upto), F.col("_past")))
+        .withColumn("_after", F.coalesce(F.min("_seen").over(after), F.col("_future")))
         .filter(is_request)
     )
-    gap_before = _gap(F.col("_before.nearest_ts"), F.col("_t"))
-    gap_after = _gap(F.col("_after.nearest_ts"), F.col("_t"))
+    gap_before, gap_after = _gap(F.col("_before"), F.col("_t")), _gap(F.col("_after"), F.col("_t"))
     use_before = F.col("_after").isNull() | (gap_before <= gap_after)
-    chosen = answered.withColumn("_pick", F.when(use_before, F.col("_before")).otherwise(F.col("_after")))
-    seconds = _gap(F.col("_pick.nearest_ts"), F.col("_t"))
-    return chosen.select(
+    chosen = answered.select(
         *key,
         F.col("_t").alias(target),
         "n_requests",
-        "_pick.*",
-        seconds.alias("seconds_off"),
-        (seconds > tolerance).alias("far"),
+        F.when(use_before, F.col("_before")).otherwise(F.col("_after")).alias("nearest_ts"),
+    ).withColumn("seconds_off", _gap(F.col("nearest_ts"), F.col(target)))
+    found = series.select(*key, F.col(ts).alias("nearest_ts"), *payload)
+    return chosen.join(found, [*key, "nearest_ts"], "left").select(
+        *key, target, "n_requests", "nearest_ts", *payload, "seconds_off", (F.col("seconds_off") > tolerance).alias("far")
     )

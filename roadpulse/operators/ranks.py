@@ -42,7 +42,8 @@ def running_totals(
     # Without groups the bounds are a single row, which is a safe broadcast;
     # with groups the join strategy is left to the measured size.
     joined = counts.join(bounds, by) if by else counts.crossJoin(F.broadcast(bounds))
-    ranged = joined.withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
+    below = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
+    ranged = joined.withColumn("_range", F.coalesce(below, F.lit(0))).drop("_bounds")
 
     totals = ranged.groupBy(*by, "_range").agg(*[F.sum(w).alias(f"_sum_{w}") for w in weights])
     # At most `ranges` rows per group reach this window.
@@ -54,7 +55,7 @@ def running_totals(
         *[F.sum(f"_sum_{w}").over(Window.partitionBy(*by)).alias(f"{w}_total") for w in weights],
     )
     inside = (
-        Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_range", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
     return ranged.join(starts, [*by, "_range"]).select(
         *counts.columns,

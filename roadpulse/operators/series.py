@@ -38,7 +38,7 @@ def with_position(df: DataFrame, key: Sequence[str] = tuple(S.KEY), ts: str = S.
 
     The join and the window share the ``(key, day)`` partitioning.
     """
-    in_day = Window.partitionBy(*key, "_day").orderBy(ts)
+    in_day = Window.partitionBy("_day", *key).orderBy(ts)
     return (
         df.withColumn("_day", F.to_date(ts))
         .join(_day_offsets(df, key, ts), [*key, "_day"])
@@ -71,7 +71,7 @@ def times_at_positions(
             ])
         ).alias("_want"),
     ).filter((F.col("_want.at") > F.col("_before")) & (F.col("_want.at") <= F.col("_before") + F.col("_rows")))
-    in_day = Window.partitionBy(*key, "_day", "_want.name").orderBy(ts)
+    in_day = Window.partitionBy("_day", *key, "_want.name").orderBy(ts)
     found = (
         df.select(*key, ts, F.to_date(ts).alias("_day"))
         .join(wanted, [*key, "_day"])
@@ -183,7 +183,7 @@ def lag_features(
     All lags share one window.  Its partitions hold a block and its lead-in,
     however long a series is.
     """
-    window = Window.partitionBy(*key, "block").orderBy(ts)
+    window = Window.partitionBy("block", *key).orderBy(ts)
     return (
         _in_blocks(df, lags, block, key, ts)
         .select("*", *[F.lag(value, k).over(window).alias(f"lag_{k}") for k in range(1, lags + 1)])

@@ -61,7 +61,11 @@ def read_raw_csv(spark: SparkSession, path: str, corridor: int = 0, keep_broken:
 
 
 def load_problems(broken_kept: DataFrame) -> DataFrame:
-    """Rows, malformed lines and undecodable characters of a permissive load."""
+    """Rows, malformed lines, undecodable characters and filled cells of a permissive load.
+
+    Counting the cells of every column makes the reader convert all of them;
+    it would not notice a malformed value in a column nobody asks for.
+    """
     text = [f.name for f in broken_kept.schema if isinstance(f.dataType, T.StringType) and f.name != _BROKEN]
     undecodable = F.lit(False)
     for name in text:
@@ -70,12 +74,12 @@ def load_problems(broken_kept: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(_BROKEN).isNotNull()).alias("malformed"),
         F.count_if(undecodable).alias("undecodable"),
+        *[F.count(c).alias(f"filled_{c}") for c in broken_kept.columns if c != _BROKEN],
     )
 
 
 def check_load(spark: SparkSession, path: str) -> None:
     """Raise :class:`LoadError` naming what is wrong with a raw file."""
-    # The reader requires every field to be read along with the broken line.
     found = load_problems(read_raw_csv(spark, path, keep_broken=True)).first()
     if found["rows"] == 0:
         raise LoadError("empty file", path)
