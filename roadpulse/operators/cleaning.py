@@ -135,10 +135,10 @@ def clean_audit(raw: DataFrame) -> DataFrame:
         F.count_if(C.parse_time(F.col("date_time")).isNull()).alias("bad_times"),
     )
     parsed = parse_times(marked.drop("_was"))
-    # Distinct rows, counted per hour: both row counts come from one shuffle chain.
+    # The distinct rows serve both the copy count and the choice of first rows.
     copies = parsed.groupBy(*parsed.columns).agg(F.count(F.lit(1)).alias("copies"))
     repeats = copies.agg(F.sum("copies").alias("parsed_rows"), F.count(F.lit(1)).alias("distinct_rows"))
-    first = keep_first(parsed)
+    first = keep_first(copies.drop("copies"))
     month = F.month(S.TS)
     by_month = first.groupBy(month.alias("month")).agg(
         F.count(F.lit(1)).alias("rows"),

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -61,12 +63,16 @@ def assemble(df: DataFrame, columns: Sequence[str] = tuple(CLUSTER_COLUMNS)) ->
     return VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="features").transform(df)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, seeds: Sequence[int] = SEEDS) -> KMeansModel:
-    """The restart with the lowest cost."""
-    models = [
-        KMeans(k=k, seed=seed, featuresCol="features", weightCol="weight", predictionCol="cluster").fit(vectors)
-        for seed in seeds
-    ]
+def fit_kmeans(
+    vectors: DataFrame, k: int, seeds: Sequence[int] = SEEDS, parallelism: int = 8
+) -> KMeansModel:
+    """The restart with the lowest cost.  Restarts are independent, so their jobs overlap."""
+
+    def fit(seed: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed, featuresCol="features", weightCol="weight", predictionCol="cluster").fit(vectors)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = list(pool.map(inheritable_thread_target(vectors.sparkSession)(fit), seeds))
     return min(models, key=lambda model: model.summary.trainingCost)
 
 

@@ -73,7 +73,9 @@ def association_rules(
 ) -> DataFrame:
     """Every split of every itemset into antecedent and consequent, by lift.
 
-    Consequents may hold several items.
+    Consequents may hold several items.  Sets over the same attributes are
+    disjoint, so at most ``1 / min_support`` of them are frequent: with the
+    defaults the joins below see no more than 750 rows a side.
     """
     bits = [(a, 2 ** (len(attributes) - 1 - i)) for i, a in enumerate(attributes)]
     # A set has at most 2^attributes - 2 proper parts.

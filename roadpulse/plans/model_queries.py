@@ -556,14 +556,12 @@ def recommend_model_message(spark, sf_dir):
 # -- clusters -------------------------------------------------------------------------------------
 def _vectors(spark, sf_dir):
     points = clustering.cluster_features(inputs.featured(spark, sf_dir))
-    return clustering.assemble(clustering.weighted_points(points)).persist()
+    return clustering.assemble(clustering.weighted_points(points))
 
 
 @query("choose_k")
 def choose_k(spark, sf_dir):
-    vectors = _vectors(spark, sf_dir)
-    _, table = clustering.choose_k(vectors)
-    vectors.unpersist()
+    _, table = clustering.choose_k(_vectors(spark, sf_dir))
     return table
 
 
