@@ -139,6 +139,7 @@ def correlation_strength(r: Column) -> Column:
 
 def cluster_label(hour: Column, weather_severity: Column, volume: Column) -> Column:
     """Name a cluster from its mean hour, severity and volume."""
+    # Names and limits of the bands.
     when = (
         F.when((hour < 6) | (hour > 21), "overnight/off-peak")
         .when(hour < 16, "daytime/commute-adjacent")
@@ -151,9 +152,7 @@ def cluster_label(hour: Column, weather_severity: Column, volume: Column) -> Col
         .otherwise("severe weather")
     )
     traffic = F.when(volume < 2000, "low").when(volume < 4500, "moderate").otherwise("high")
-    return F.concat(
-        when, F.lit(" hours, typically "), weather, F.lit(" conditions, "), traffic, F.lit(" traffic volume")
-    )
+    return F.concat_ws("; ", when, weather, F.concat(traffic, F.lit(" volume")))
 
 
 def alert(flag: Column) -> Column:

@@ -93,7 +93,7 @@ def invalid_rain(column: str = "rain_1h", highest: float = S.IMPLAUSIBLE_RAIN_MM
 def monthly_medians(df: DataFrame, column: str, invalid: Column, ts: str = S.TS) -> DataFrame:
     """Median of the valid readings per calendar month, pooled over years."""
     valid = df.filter(~invalid).select(F.month(ts).alias("month"), column)
-    return column_quantiles(valid, column, {f"{column}_median": 0.5}, by=["month"])
+    return column_quantiles(valid, column, {f"{column}_median": 0.5}, by=["month"], few_groups=True)
 
 
 def impute_monthly_median(

@@ -38,7 +38,7 @@ def long_counts(combos: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def ks_from_counts(counts: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
     """Largest distance between the two empirical distributions per feature."""
-    ranked = running_totals(counts, "value", ["n_train", "n_test"], by)
+    ranked = running_totals(counts, "value", ["n_train", "n_test"], by, few_groups=list(by) == ["feature"])
 
     def reached(side: str) -> Column:
         return C.ratio(F.col(f"{side}_before") + F.col(side), F.col(f"{side}_total"))

@@ -11,6 +11,10 @@ from roadpulse.functions import columns as C
 from roadpulse.operators.ranks import running_totals
 
 
+# Keys with a fixed number of values: at most 24 x 7 x 2 x 2 combinations.
+CALENDAR = {"hour", "day_of_week", "is_weekend", "is_holiday"}
+
+
 def regression_metrics(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
     """Mean absolute error and R squared in one aggregation."""
     actual, error = F.col(y).cast("double"), F.col(y).cast("double") - F.col(pred)
@@ -79,4 +83,6 @@ def mean_profile(train: DataFrame, by: Sequence[str], target: str = "traffic_vol
 
 
 def predict_from_profile(df: DataFrame, profile: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.join(profile, list(by), "left")
+    """Attach the profile's prediction; the table itself is not shuffled for calendar profiles."""
+    bounded = set(by) <= CALENDAR
+    return df.join(F.broadcast(profile) if bounded else profile, list(by), "left")

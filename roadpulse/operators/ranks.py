@@ -30,18 +30,24 @@ def running_totals(
     weights: Sequence[str],
     by: Sequence[str] = (),
     ranges: int = RANGES,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Add ``<w>_before`` (sum over smaller values) and ``<w>_total`` per group.
 
     ``counts`` has one row per ``(by, value)``.  No task sees more than about
-    ``1/ranges`` of a group's distinct values.
+    ``1/ranges`` of a group's distinct values.  ``few_groups`` states that the
+    number of groups has a known small bound (months, features), so that their
+    range bounds may be broadcast.
     """
     by = list(by)
     cuts = [i / ranges for i in range(1, ranges)]
     bounds = counts.groupBy(*by).agg(F.percentile_approx(value, cuts, 20 * ranges).alias("_bounds"))
     # Without groups the bounds are a single row, which is a safe broadcast;
-    # with groups the join strategy is left to the measured size.
-    joined = counts.join(bounds, by) if by else counts.crossJoin(F.broadcast(bounds))
+    # with any number of groups the join strategy is left to the measured size.
+    if not by:
+        joined = counts.crossJoin(F.broadcast(bounds))
+    else:
+        joined = counts.join(F.broadcast(bounds) if few_groups else bounds, by)
     below = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
     ranged = joined.withColumn("_range", F.coalesce(below, F.lit(0))).drop("_bounds")
 
@@ -73,9 +79,10 @@ def quantiles(
     named: Mapping[str, float],
     by: Sequence[str] = (),
     weight: str = "n",
+    few_groups: bool = False,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group."""
-    ranked = running_totals(counts, value, [weight], by)
+    ranked = running_totals(counts, value, [weight], by, few_groups=few_groups)
     before, own, total = F.col(f"{weight}_before"), F.col(weight), F.col(f"{weight}_total")
 
     def holds(rank: Column) -> Column:
@@ -96,6 +103,6 @@ def quantiles(
 
 
 def column_quantiles(
-    df: DataFrame, value: str, named: Mapping[str, float], by: Sequence[str] = ()
+    df: DataFrame, value: str, named: Mapping[str, float], by: Sequence[str] = (), few_groups: bool = False
 ) -> DataFrame:
-    return quantiles(value_counts(df, value, by), value, named, by)
+    return quantiles(value_counts(df, value, by), value, named, by, few_groups=few_groups)

@@ -24,7 +24,7 @@ def check_scenarios(df: DataFrame) -> DataFrame:
     }).withColumn(
         "reason",
         F.when(hour.isNull() | ~hour.between(0, 23), "hour must be between 0 and 23")
-        .when(day_type.isNull() | ~day_type.isin(S.DAY_TYPES), "day_type must be 'weekday' or 'weekend'")
+        .when(day_type.isNull() | ~day_type.isin(S.DAY_TYPES), "day type must be weekday or weekend")
         .when(~weather.isin(S.WEATHER_VALUES), "unknown weather"),
     )
 
@@ -83,33 +83,25 @@ def best_windows(
     )
 
 
-def _between(hour: Column) -> Column:
-    return F.concat(C.clock(hour), F.lit(" and "), C.clock((hour + 1) % 24))
+def _advice(situation: Column, hour: Column, volume: Column) -> Column:
+    return F.concat(
+        F.lit("Quietest hour for a "), situation, F.lit(": "), C.clock(hour), F.lit("-"), C.clock((hour + 1) % 24),
+        F.lit(", about "), F.round(volume, 0).cast("bigint").cast("string"), F.lit(" vehicles"),
+    )
 
 
 def recommendation_messages(windows: DataFrame) -> DataFrame:
     """One sentence per scenario, from its best window."""
-    holiday = F.when(F.col("is_holiday").cast("boolean"), " (public holiday)").otherwise("")
+    holiday = F.when(F.col("is_holiday").cast("boolean"), " holiday").otherwise("")
+    situation = F.concat(F.col("day_type"), holiday, F.lit(" trip in weather "), F.col("weather"))
     return windows.filter("place = 1").select(
-        "day_type",
-        "weather",
-        "is_holiday",
-        F.concat(
-            F.lit("For a "), "day_type", F.lit(" journey"), holiday, F.lit(" in "), F.lower("weather"),
-            F.lit(" weather, consider travelling between "), _between(F.col("hour")),
-            F.lit(", when predicted traffic is lower (~"),
-            F.col("predicted_volume").cast("bigint").cast("string"), F.lit(" vehicles/hour)."),
-        ).alias("message"),
+        "day_type", "weather", "is_holiday", _advice(situation, F.col("hour"), F.col("predicted_volume")).alias("message")
     )
 
 
 def history_messages(quietest: DataFrame) -> DataFrame:
     """One sentence per day type from its historically quietest hour."""
+    situation = F.concat(F.col("day_type"), F.lit(" trip"))
     return quietest.filter("place = 1").select(
-        "day_type",
-        F.concat(
-            F.lit("For a "), "day_type", F.lit(" journey, consider travelling between "), _between(F.col("hour")),
-            F.lit(", when historical traffic is lower (~"),
-            F.round("mean_volume", 0).cast("bigint").cast("string"), F.lit(" vehicles/hour)."),
-        ).alias("message"),
+        "day_type", _advice(situation, F.col("hour"), F.col("mean_volume")).alias("message")
     )

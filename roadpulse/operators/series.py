@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse import schema as S
+from roadpulse.sources.storage import stage
 
 BLOCK = 4096
 
@@ -89,6 +90,17 @@ def share(of: float = S.TRAIN_SHARE, skip: int = 0) -> Callable[[Column], Column
     return lambda n: F.when(n > skip, skip + F.floor(F.lit(of) * (n - skip))).otherwise(0)
 
 
+def _written_cuts(
+    df: DataFrame, positions: Mapping[str, Callable[[Column], Column]], key: Sequence[str], ts: str
+) -> DataFrame:
+    """Cut times as a written table, so that its true size is known when joining.
+
+    Up to the broadcast threshold the join then leaves ``df`` where it is;
+    beyond, it is a shuffle join whose hot series adaptive execution splits.
+    """
+    return stage(times_at_positions(df, positions, key, ts).drop("series_rows"), "cut_times")
+
+
 def chronological_split(
     df: DataFrame,
     train_share: float = S.TRAIN_SHARE,
@@ -98,11 +110,11 @@ def chronological_split(
 ) -> DataFrame:
     """Add ``is_train``: the first ``floor(share * n)`` rows of each series.
 
-    ``df`` itself is not shuffled or sorted for it, only compared with a cut
-    time per series.  ``skip`` is the number of lead-in rows that lag building
-    drops, so that the share is taken of the remaining rows.
+    ``df`` itself is not sorted for it, only compared with a cut time per
+    series.  ``skip`` is the number of lead-in rows that lag building drops, so
+    that the share is taken of the remaining rows.
     """
-    cuts = times_at_positions(df, {"_train_end": share(train_share, skip)}, key, ts).drop("series_rows")
+    cuts = _written_cuts(df, {"_train_end": share(train_share, skip)}, key, ts)
     return (
         df.join(cuts, list(key), "left")
         .withColumn("is_train", F.coalesce(F.col(ts) <= F.col("_train_end"), F.lit(False)))
@@ -124,7 +136,7 @@ def split_halves(
         "_half_end": lambda n: train(n) + F.floor((n - train(n)) / 2),
         "_first_end": lambda n: F.least(n, train(n) + first_n),
     }
-    cuts = times_at_positions(df, positions, key, ts).drop("series_rows")
+    cuts = _written_cuts(df, positions, key, ts)
     at = F.col(ts)
     return (
         df.join(cuts, list(key), "left")

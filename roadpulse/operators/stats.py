@@ -68,7 +68,11 @@ def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max("value").alias("max"),
     )
     quartiles = quantiles(
-        value_counts(long, "value", ["column_name"]), "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["column_name"]
+        value_counts(long, "value", ["column_name"]),
+        "value",
+        {"q1": 0.25, "median": 0.5, "q3": 0.75},
+        ["column_name"],
+        few_groups=True,
     )
     return moments.join(quartiles, "column_name")
 

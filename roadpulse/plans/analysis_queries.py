@@ -366,8 +366,8 @@ def recommend_history(spark, sf_dir):
 
 @query("recommend_history_message", sql("quiet", """
     , q AS (SELECT CASE is_weekend WHEN 1 THEN 'weekend' ELSE 'weekday' END AS day_type, hour, CAST(round(m) AS BIGINT) AS v FROM quiet WHERE place = 1)
-    SELECT day_type, 'For a ' || day_type || ' journey, consider travelling between ' || lpad(hour::VARCHAR, 2, '0') || ':00 and '
-      || lpad(((hour + 1) % 24)::VARCHAR, 2, '0') || ':00, when historical traffic is lower (~' || v::VARCHAR || ' vehicles/hour).' AS message FROM q"""))
+    SELECT day_type, 'Quietest hour for a ' || day_type || ' trip: ' || lpad(hour::VARCHAR, 2, '0') || ':00-'
+      || lpad(((hour + 1) % 24)::VARCHAR, 2, '0') || ':00, about ' || v::VARCHAR || ' vehicles' AS message FROM q"""))
 def recommend_history_message(spark, sf_dir):
     from roadpulse.operators.scenarios import history_messages
 

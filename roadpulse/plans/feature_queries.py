@@ -196,13 +196,10 @@ def train_only_norm(spark, sf_dir):
     FROM t, (SELECT avg(traffic_volume) AS m FROM t)"""))
 def naive_forecast(spark, sf_dir):
     """The last value as the next one: the yardstick for the sequence models."""
-    cleaned = inputs.cleaned(spark, sf_dir)
-    cuts = series.times_at_positions(cleaned, {"train_end": series.share(S.TRAIN_SHARE, S.LOOKBACK)})
-    test = (
-        series.lag_features(cleaned.select("corridor", "ts", "traffic_volume"))
-        .join(cuts.drop("series_rows"), "corridor", "left")
-        .filter(F.col("train_end").isNull() | (F.col("ts") > F.col("train_end")))
+    split = series.chronological_split(
+        inputs.cleaned(spark, sf_dir).select("corridor", "ts", "traffic_volume"), skip=S.LOOKBACK
     )
+    test = series.lag_features(split).filter("NOT is_train")
     return metrics.regression_metrics(test, "traffic_volume", "lag_1")
 
 

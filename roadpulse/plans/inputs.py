@@ -91,11 +91,12 @@ def lag_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         "lag_table",
-        lambda: series.chronological_split(
-            series.lag_features(
+        lambda: series.lag_features(
+            series.chronological_split(
                 featured(spark, sf_dir)
                 .withColumn("is_holiday", F.col("is_holiday").cast("int"))
-                .select("corridor", "ts", "traffic_volume", *S.FEATURES)
+                .select("corridor", "ts", "traffic_volume", *S.FEATURES),
+                skip=S.LOOKBACK,
             )
         ),
     )

@@ -28,7 +28,7 @@ define("scenario_requests", ["traffic_raw"], """
 define("checked_scenarios", ["scenario_requests"], f"""
     SELECT corridor, hour, day_type, coalesce(weather, 'Clear') AS weather, is_holiday,
       CASE WHEN hour NOT BETWEEN 0 AND 23 THEN 'hour must be between 0 and 23'
-           WHEN day_type NOT IN ('weekday', 'weekend') THEN 'day_type must be ''weekday'' or ''weekend'''
+           WHEN day_type NOT IN ('weekday', 'weekend') THEN 'day type must be weekday or weekend'
            WHEN coalesce(weather, 'Clear') NOT IN ({', '.join(repr(w) for w in S.WEATHER_VALUES)}) THEN 'unknown weather' END AS reason
     FROM scenario_requests""")
 define("scenarios", ["timed"], """
@@ -99,10 +99,9 @@ def recommend_profile(spark, sf_dir):
 
 
 @query("recommend_message", sql("profile_curves", f"""{_BEST}
-    SELECT day_type, weather, is_holiday, 'For a ' || day_type || ' journey' || CASE WHEN is_holiday THEN ' (public holiday)' ELSE '' END
-      || ' in ' || lower(weather) || ' weather, consider travelling between ' || lpad(hour::VARCHAR, 2, '0') || ':00 and '
-      || lpad(((hour + 1) % 24)::VARCHAR, 2, '0') || ':00, when predicted traffic is lower (~'
-      || CAST(round(predicted_volume, 0) AS BIGINT)::VARCHAR || ' vehicles/hour).' AS message FROM best WHERE place = 1"""))
+    SELECT day_type, weather, is_holiday, 'Quietest hour for a ' || day_type || CASE WHEN is_holiday THEN ' holiday' ELSE '' END
+      || ' trip in weather ' || weather || ': ' || lpad(hour::VARCHAR, 2, '0') || ':00-' || lpad(((hour + 1) % 24)::VARCHAR, 2, '0')
+      || ':00, about ' || CAST(round(predicted_volume, 0) AS BIGINT)::VARCHAR || ' vehicles' AS message FROM best WHERE place = 1"""))
 def recommend_message(spark, sf_dir):
     return scenarios.recommendation_messages(recommend_profile(spark, sf_dir))
 

@@ -206,7 +206,7 @@ def test_no_positive_predictions(spark):
 def test_scenarios_are_checked(spark):
     rows = [
         (8, "weekday", "Rain", True, None), (24, "weekday", "Rain", False, "hour must be between 0 and 23"),
-        (8, "weekday", "Hail", False, "unknown weather"), (8, "holiday", "Rain", False, "day_type must be 'weekday' or 'weekend'"),
+        (8, "weekday", "Hail", False, "unknown weather"), (8, "holiday", "Rain", False, "day type must be weekday or weekend"),
         (8, "weekend", None, None, None), (None, "weekday", "Rain", False, "hour must be between 0 and 23"),
     ]
     df = spark.createDataFrame(rows, "hour int, day_type string, weather string, is_holiday boolean, expected string")
@@ -227,7 +227,7 @@ def test_best_windows_prefer_the_earlier_hour(spark):
     assert [r["hour"] for r in scenarios.best_windows(df).orderBy("place").collect()] == [9, 20, 6]
     assert scenarios.best_windows(df, n=1, allow_overnight=True).first()["hour"] == 3
     text = scenarios.recommendation_messages(scenarios.best_windows(df)).first()["message"]
-    assert "between 09:00 and 10:00" in text and "holiday" not in text
+    assert "09:00-10:00, about 100 vehicles" in text and "holiday" not in text
 
 
 def test_top_hours_needs_a_positive_count(spark):
