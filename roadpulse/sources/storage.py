@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,19 +12,14 @@ _CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, visible to every executor.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would lose data with its machine, so there
-    the setting is required.
+    A session without that setting uses a folder in its warehouse, which is
+    storage of the session's own choosing and not of one machine.
     """
     configured = spark.conf.get(_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CONF} to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="roadpulse-")
-    spark.conf.set(_CONF, own)
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_staged"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
