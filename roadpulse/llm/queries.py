@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe
+from roadpulse.llm import bpe, quality
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,5 +20,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe,)}
-ORACLES: dict[str, str] = {}
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document rules and host verdicts."""
+    return quality.report(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_quality_rules)}
+ORACLES: dict[str, str] = {"op4_quality_rules": quality.SQL}
