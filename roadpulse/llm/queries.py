@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import os
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe, quality
+from roadpulse.llm import bpe, quality, warc
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+#: Where Python workers find this package if the session was started elsewhere; a cluster gets it by --py-files.
+SOURCE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    spark.sparkContext.environment.setdefault("PYTHONPATH", SOURCE_ROOT)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -25,5 +32,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_quality_rules)}
-ORACLES: dict[str, str] = {"op4_quality_rules": quality.SQL}
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through WARC archives and back."""
+    return warc.archive_report(_read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_quality_rules, op6_warc)}
+ORACLES: dict[str, str] = {"op4_quality_rules": quality.SQL, "op6_warc": warc.SQL}
