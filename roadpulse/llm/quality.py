@@ -106,7 +106,8 @@ def with_host_verdicts(judged: DataFrame, host: str = "source", max_host_rate: f
     partial sums, so a host with most documents costs no more; the join splits its rows at run time.
     """
     judged = stage(judged, "judged")
-    rates = host_rates(judged, host).select(F.col("host").alias("__host"), F.col("host_rate").alias("__rate"))
+    # Written, so that the join knows the size of this side before it deals out documents.
+    rates = stage(host_rates(judged, host).select(F.col("host").alias("__host"), F.col("host_rate").alias("__rate")), "host-rates")
     joined = judged.join(rates, F.col(host) == F.col("__host"), "left")
     return (
         joined.withColumn("host_rate", F.col("__rate"))

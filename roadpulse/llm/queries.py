@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import bpe, quality, warc
+from roadpulse.llm import bpe, mixing, quality, warc
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,6 +21,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed to the square roots of their sources' sizes, at the size of the corpus."""
+    return mixing.mix(_read(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded; digests of both."""
     documents = _read(spark, sf_dir, "documents")
@@ -37,5 +42,5 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(_read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_quality_rules, op6_warc)}
-ORACLES: dict[str, str] = {"op4_quality_rules": quality.SQL, "op6_warc": warc.SQL}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op4_quality_rules, op6_warc)}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_quality_rules": quality.SQL, "op6_warc": warc.SQL}

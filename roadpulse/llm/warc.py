@@ -99,7 +99,8 @@ def with_originals(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Data
         .where("n > 1")
         .select("sha", "original")
     )
-    joined = base.join(twice, "sha", "left")
+    # Written, so that the join knows the size of this side before it deals out payloads.
+    joined = base.join(stage(twice, "equal-payloads"), "sha", "left")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("original")), F.col("original"))
     return joined.select("page_id", "url", "payload", refers.alias("refers_to"))
 
