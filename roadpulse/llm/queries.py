@@ -6,8 +6,9 @@ import os
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, mixing, quality, warc
+from roadpulse.llm import bpe, hash_forest, mixing, quality, warc
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -42,5 +43,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(_read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op4_quality_rules, op6_warc)}
+def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors to every fiftieth."""
+    return hash_forest.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op4_quality_rules, op6_warc, op10_hash_forest)}
 ORACLES: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_quality_rules": quality.SQL, "op6_warc": warc.SQL}
