@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, hash_forest, mixing, quality, warc
+from roadpulse.llm import bpe, hash_forest, jaccard, mixing, quality, warc
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -43,10 +43,15 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(_read(spark, sf_dir, "pages"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents that links of Jaccard 0.8 or more on five-word shingles connect."""
+    return jaccard.classes(_read(spark, sf_dir, "documents"))
+
+
 def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors to every fiftieth."""
     return hash_forest.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op4_quality_rules, op6_warc, op10_hash_forest)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op4_quality_rules, op6_warc, op8_ngram_jaccard, op10_hash_forest)}
 ORACLES: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_quality_rules": quality.SQL, "op6_warc": warc.SQL}
