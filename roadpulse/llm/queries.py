@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, hash_forest, jaccard, mixing, quality, warc
+from roadpulse.llm import bpe, hash_forest, jaccard, language, mixing, passages, quality, warc
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -38,6 +38,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_read(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages predicted by filters learned from three quarters of the labelled documents."""
+    documents = _read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = language.fit(documents.where(F.col("doc_id").isNotNull() & ~held_out))
+    return language.predict(documents.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages through WARC archives and back."""
     return warc.archive_report(_read(spark, sf_dir, "pages"))
@@ -48,10 +56,15 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(_read(spark, sf_dir, "documents"))
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 35 words that occur elsewhere."""
+    return passages.report(_read(spark, sf_dir, "documents"))
+
+
 def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors to every fiftieth."""
     return hash_forest.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op4_quality_rules, op6_warc, op8_ngram_jaccard, op10_hash_forest)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_byte_bpe, op4_quality_rules, op5_language, op6_warc, op8_ngram_jaccard, op9_passages, op10_hash_forest)}
 ORACLES: dict[str, str] = {"op1_mixing": mixing.SQL, "op4_quality_rules": quality.SQL, "op6_warc": warc.SQL}

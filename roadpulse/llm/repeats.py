@@ -2,7 +2,7 @@
 
 Tasks cut their hashes by value into ranges and send each range as one binary row per piece of
 texts.  A hash that a piece holds twice is sent once, without its owners, so a hash that is
-everywhere costs a range one entry per piece.
+everywhere costs a range one entry per piece.  Where owners must learn of it, they are dealt by owner.
 """
 
 from __future__ import annotations
@@ -21,11 +21,21 @@ _SENT = "range int, owners binary, counts binary, single binary, several binary"
 
 
 def range_count(hashes: int) -> int:
-    return max(8, math.ceil(hashes / RANGE_HASHES))
+    return max(1, math.ceil(hashes / RANGE_HASHES))
 
 
-def pack(owners: list[bytes], owner_of: np.ndarray, hashes: np.ndarray, ranges: int) -> pa.RecordBatch:
-    """Rows for one piece: ``owner_of`` indexes ``owners``, which are keys of equal length."""
+def _row(name: int, keys: np.ndarray, owner_of: np.ndarray, hashes: np.ndarray, several: np.ndarray) -> tuple:
+    by_owner = np.argsort(owner_of, kind="stable")
+    present, counts = np.unique(owner_of, return_counts=True)
+    return name, keys[present].tobytes(), counts.astype("<i4").tobytes(), hashes[by_owner].tobytes(), several.tobytes()
+
+
+def pack(owners: list[bytes], owner_of: np.ndarray, hashes: np.ndarray, ranges: int, report_several: bool = False) -> pa.RecordBatch:
+    """Rows for one piece: ``owner_of`` indexes ``owners``, which are keys of equal length.
+
+    With ``report_several`` the owners of hashes that repeat inside the piece go along in rows of
+    negative ranges, dealt by owner.
+    """
     order = np.argsort(hashes, kind="stable")
     hashes, owner_of = hashes[order], owner_of[order]
     new = np.ones(len(hashes), bool)
@@ -34,22 +44,25 @@ def pack(owners: list[bytes], owner_of: np.ndarray, hashes: np.ndarray, ranges:
     last[:-1] = new[1:]
     once = new & last
     bounds = np.array([(r << 64) // ranges for r in range(1, ranges)], np.uint64)
-    single, several, owner_of = hashes[once], hashes[new & ~last], owner_of[once]
+    single, several, single_of = hashes[once], hashes[new & ~last], owner_of[once]
     cut_single = np.concatenate([[0], np.searchsorted(single, bounds), [len(single)]])
     cut_several = np.concatenate([[0], np.searchsorted(several, bounds), [len(several)]])
     width = len(owners[0]) if owners else 1
     keys = np.frombuffer(b"".join(owners), f"V{width}")
-    rows: list[list] = [[], [], [], [], []]
+    rows = []
     for r in range(ranges):
         a, b, c, d = cut_single[r], cut_single[r + 1], cut_several[r], cut_several[r + 1]
-        if a == b and c == d:
-            continue
-        by_owner = np.argsort(owner_of[a:b], kind="stable")
-        present, counts = np.unique(owner_of[a:b], return_counts=True)
-        for column, value in zip(rows, (r, keys[present].tobytes(), counts.astype("<i4").tobytes(), single[a:b][by_owner].tobytes(), several[c:d].tobytes())):
-            column.append(value)
+        if a < b or c < d:
+            rows.append(_row(r, keys, single_of[a:b], single[a:b], several[c:d]))
+    if report_several and not once.all():
+        known, known_of = hashes[~once], owner_of[~once]
+        spread = np.array([int.from_bytes(o[:4], "little") % ranges for o in owners])
+        for r in np.unique(spread[known_of]):
+            at = spread[known_of] == r
+            rows.append(_row(-1 - int(r), keys, known_of[at], known[at], several[:0]))
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=["range", "owners", "counts", "single", "several"])
+    columns = list(zip(*rows)) or [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["range", "owners", "counts", "single", "several"])
 
 
 def _gather(group: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -88,13 +101,25 @@ def unique_counts(df: DataFrame, send: Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def repeated(df: DataFrame, send: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], width: int) -> DataFrame:
-    """(owner, hash): hashes sent as single by their piece that occur elsewhere too.
+    """(owner, hashes): hashes of an owner that occur twice or more in all, packed; an owner has a row per range.
 
-    A hash that repeats inside a piece is not reported; the sender knows it already.
+    ``send`` packs with ``report_several``.
     """
 
     def pick(group: pd.DataFrame) -> pd.DataFrame:
-        keys, owner, single, once = _gather(group, width)
-        return pd.DataFrame({"owner": [keys[i].tobytes() for i in owner[~once]], "hash": single[~once].view(np.int64)})
-
-    return df.mapInArrow(send, _SENT).groupBy("range").applyInPandas(pick, "owner binary, hash long")
+        keys, owner, hashes, once = _gather(group, width)
+        if group["range"].iloc[0] < 0:
+            once[:] = False
+        # Equal owners from different pieces become one.
+        names, same = np.unique(keys, return_inverse=True) if len(keys) else (keys, np.zeros(0, np.int64))
+        owner, hashes = same[owner[~once]], hashes[~once]
+        order = np.lexsort((hashes, owner))
+        owner, hashes = owner[order], hashes[order]
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+        owner, hashes = owner[new], hashes[new]
+        present, start = np.unique(owner, return_index=True)
+        return pd.DataFrame({"owner": [names[i].tobytes() for i in present], "hashes": [x.tobytes() for x in np.split(hashes, start[1:])] if len(present) else []})
+
+    found = df.mapInArrow(send, _SENT).groupBy("range").applyInPandas(pick, "owner binary, hashes binary")
+    return found.where("octet_length(hashes) > 0")
