@@ -31,29 +31,27 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), _GAP), lambda w: w != "")
 
 
-def _n_dup_lines(text: Column) -> Column:
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.length(F.btrim(line, F.lit(_BLANK))) > 0)
-    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+def _with_repeat_words(df: DataFrame) -> DataFrame:
+    """``n_repeat_words`` from ``__windows``: words inside windows whose hash occurs twice or more.
 
-
-def _n_repeat_words(windows: Column) -> Column:
-    """Words inside windows whose hash occurs twice or more, from the sorted (hash, place) pairs."""
-    n = F.size(windows)
-    ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    # Neighbours in hash order are equal exactly where a window repeats.
-    hashes = F.transform(ordered, lambda x: x["h"])
-    same = F.zip_with(F.slice(hashes, 1, F.greatest(n - 1, F.lit(0))), F.slice(hashes, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: a == b)
-    none = F.array(F.lit(False))
-    flags = F.zip_with(F.concat(none, same), F.concat(same, none), lambda a, b: a | b)
-    places = F.transform(F.filter(F.arrays_zip(ordered.alias("o"), flags.alias("f")), lambda x: x["f"]), lambda x: x["o"]["i"])
-    covered = F.concat(places, F.transform(places, lambda i: i + 1), F.transform(places, lambda i: i + 2))
-    return F.when(n < 2, F.lit(0)).otherwise(F.size(F.array_distinct(covered))).cast("long")
+    In (hash, place) order equal hashes are neighbours.  Each step is a column of its own, so that no
+    step is computed again for every use.
+    """
+    pairs = F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    ordered = df.withColumn("__ordered", pairs)
+    at = lambda i: F.get("__ordered", i)["h"]
+    twice = F.filter("__ordered", lambda x, i: x["h"].eqNullSafe(at(i - 1)) | x["h"].eqNullSafe(at(i + 1)))
+    places = ordered.withColumn("__places", F.transform(twice, lambda x: x["i"]))
+    covered = F.concat("__places", F.transform("__places", lambda i: i + 1), F.transform("__places", lambda i: i + 2))
+    return places.withColumn("n_repeat_words", F.size(F.array_distinct(covered)).cast("long")).drop("__windows", "__ordered", "__places")
 
 
 def document_rules(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the counts and ``base_failed``; columns of these names are replaced."""
     body = F.coalesce(F.col(text), F.lit(""))
     cut = df.withColumn("__words", words(F.col(text)))
+    lines = F.filter(F.split(body, "\n"), lambda line: F.length(F.btrim(line, F.lit(_BLANK))) > 0)
+    cut = cut.withColumn("__lines", lines)
     word = F.col("__words")
     n = F.size(word)
     windows = F.when(
@@ -67,10 +65,10 @@ def document_rules(df: DataFrame, text: str = "text") -> DataFrame:
         "n_words": n.cast("long"),
         "word_chars": F.length(F.regexp_replace(body, _GAP, "")).cast("long"),
         "n_symbols": F.regexp_count(body, F.lit(SYMBOLS)).cast("long"),
-        "n_dup_lines": _n_dup_lines(F.col(text)),
+        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
         "__windows": windows,
-    }).drop("__words")
-    judged = counted.withColumn("n_repeat_words", _n_repeat_words(F.col("__windows"))).drop("__windows")
+    }).drop("__words", "__lines")
+    judged = _with_repeat_words(counted)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return judged.withColumn("base_failed", failed)
 
