@@ -66,16 +66,18 @@ def _names(tokens: np.ndarray, offsets: np.ndarray) -> list[bytes]:
 
 
 def profiles(df: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, and the name of the set."""
+    """doc_id, text_id, n_shingles, and the name of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             tokens, offsets = _sets(piece, k)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(_names(tokens, offsets), pa.binary())], names=["doc_id", "n_shingles", "name"]
+                [piece.column(0), piece.column(1), pa.array(np.diff(offsets), pa.int64()), pa.array(_names(tokens, offsets), pa.binary())],
+                names=["doc_id", "text_id", "n_shingles", "name"],
             )
 
-    return df.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, name binary")
+    keyed = df.select("doc_id", F.md5("text").alias("text_id"), "text")
+    return keyed.mapInArrow(run, "doc_id long, text_id string, n_shingles long, name binary")
 
 
 def _own_tokens(df: DataFrame, k: int, ranges: int) -> DataFrame:
@@ -231,8 +233,8 @@ def _links(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("group", "low", "high").applyInPandas(verify, "a long, b long")
 
 
-def classes(df: DataFrame, text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per row of ``df``."""
+def _classes(df: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+    """doc_id, text_id, n_shingles, component_id of every row."""
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     sizes = stage(profiles(docs, k), "profiles")
     total = sizes.agg(F.sum("n_shingles")).first()[0] or 0
@@ -259,4 +261,22 @@ def classes(df: DataFrame, text: str = "text", k: int = SHINGLE, percent: int =
     found = stage(named.join(least, "component").select("name", "component_id"), "classes")
     answer = sizes.join(found, "name", "left")
     component = F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return answer.select("doc_id", "n_shingles", component.alias("component_id"))
+    return answer.select("doc_id", "text_id", "n_shingles", component.alias("component_id"))
+
+
+def classes(df: DataFrame, text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per row of ``df``."""
+    return _classes(df, text, k, percent).drop("text_id")
+
+
+def keep_one(df: DataFrame, text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``df`` with one row of each class, that of the least doc_id; rows without doc_id or words stay."""
+    found = _classes(df, text, k, percent).where("doc_id IS NOT NULL AND n_shingles > 0")
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_id")).alias("first")).select("first.*")
+    first = stage(first.select(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text")), "first-rows")
+    keyed = df.withColumn("__key", F.md5(text))
+    wordless = F.length(F.translate(F.coalesce(text, F.lit("")), " \t\n\x0b\x0c\r", "")) == 0
+    alone = F.col("doc_id").isNull() | wordless
+    kept = keyed.where(~alone).join(first, (F.col("doc_id") == F.col("__doc")) & (F.col("__key") == F.col("__text")), "left_semi")
+    # Rows that repeat an id and a text are one.
+    return kept.dropDuplicates(["doc_id", "__key"]).drop("__key").unionByName(df.where(alone))

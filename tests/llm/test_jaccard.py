@@ -70,6 +70,17 @@ def test_same_classes_as_brute_force(spark, seed, monkeypatch):
     assert sorted((tuple(r) for r in jaccard.classes(df).collect()), key=str) == brute(rows)
 
 
+def test_one_row_of_each_class_stays(spark):
+    rows = corpus(3, groups=5, copies=6)
+    df = spark.createDataFrame([(d, t, "x", i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, name string, __doc int")
+    got = jaccard.keep_one(df).collect()
+    want = brute(rows)
+    stay = [(d, t) for d, t in rows if d is None or not shingles(t)]
+    assert len(got) == len({c for d, n, c in want if d is not None and n}) + len(stay)
+    assert {r.doc_id for r in got if r.doc_id is not None and shingles(r.text)} == {c for d, n, c in want if d is not None and n}
+    assert jaccard.keep_one(df.limit(0)).columns == df.columns
+
+
 def test_empty_table(spark):
     assert jaccard.classes(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
