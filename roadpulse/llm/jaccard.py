@@ -66,33 +66,38 @@ def _names(tokens: np.ndarray, offsets: np.ndarray) -> list[bytes]:
 
 
 def profiles(df: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, text_id, n_shingles, and the name of the set."""
+    """doc_id, text_id, n_shingles, how many of them are sampled, and the name of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             tokens, offsets = _sets(piece, k)
+            sampled = np.diff(np.concatenate([[0], np.cumsum(_sampled(tokens))])[offsets])
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), piece.column(1), pa.array(np.diff(offsets), pa.int64()), pa.array(_names(tokens, offsets), pa.binary())],
-                names=["doc_id", "text_id", "n_shingles", "name"],
+                [piece.column(0), piece.column(1), pa.array(np.diff(offsets), pa.int64()), pa.array(sampled, pa.int64()), pa.array(_names(tokens, offsets), pa.binary())],
+                names=["doc_id", "text_id", "n_shingles", "n_sampled", "name"],
             )
 
     keyed = df.select("doc_id", F.md5("text").alias("text_id"), "text")
-    return keyed.mapInArrow(run, "doc_id long, text_id string, n_shingles long, name binary")
+    return keyed.mapInArrow(run, "doc_id long, text_id string, n_shingles long, n_sampled long, name binary")
 
 
-def _own_tokens(df: DataFrame, k: int, ranges: int) -> DataFrame:
-    """(owner, n): tokens of a set, of the sampled hash values, that no other document has."""
+def _sampled(tokens: np.ndarray) -> np.ndarray:
+    """The low bits choose the sample; ranges go by the high ones."""
+    return (tokens & np.uint64(7)) < SAMPLE_OF_8
+
+
+def _shared_tokens(df: DataFrame, k: int, ranges: int) -> DataFrame:
+    """(owner, n): sampled tokens of a set that another document, or an equal one, has too."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", 4 << 20):
             tokens, offsets = _sets(piece, k)
             names = _names(tokens, offsets)
             owner = np.repeat(np.arange(len(names)), np.diff(offsets))
-            # The low bits choose the sample, the high bits the range.
-            taken = (tokens & np.uint64(7)) < SAMPLE_OF_8
-            yield repeats.pack(names, owner[taken], tokens[taken], ranges)
+            taken = _sampled(tokens)
+            yield repeats.pack(names, owner[taken], tokens[taken], ranges, report_several=True)
 
-    return repeats.unique_counts(df.select("text"), send, 16)
+    return repeats.repeated_counts(df.select("text"), send, 16, ranges)
 
 
 def _full_sets(df: DataFrame, k: int) -> DataFrame:
@@ -237,16 +242,17 @@ def _classes(df: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     """doc_id, text_id, n_shingles, component_id of every row."""
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     sizes = stage(profiles(docs, k), "profiles")
-    total = sizes.agg(F.sum("n_shingles")).first()[0] or 0
-    own = _own_tokens(docs, k, repeats.range_count(total * SAMPLE_OF_8 // 8))
+    total = sizes.agg(F.sum("n_sampled")).first()[0] or 0
+    shared = _shared_tokens(docs, k, repeats.range_count(total))
     nodes = (
         sizes.where("doc_id IS NOT NULL AND n_shingles > 0")
-        .groupBy("name").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"))
+        .groupBy("name").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("n_sampled").alias("n_sampled"))
         .withColumn("node", F.xxhash64("name"))
     )
     allowed = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long")
-    nodes = nodes.join(own.select(F.col("owner").alias("name"), F.col("n").alias("own")), "name", "left")
-    nodes = stage(nodes.withColumn("open", F.coalesce("own", F.lit(0)) <= allowed).drop("own"), "nodes")
+    nodes = nodes.join(shared.select(F.col("owner").alias("name"), F.col("n").alias("shared")), "name", "left")
+    # A set with more tokens of its own than a similar set may lack has no similar set.
+    nodes = stage(nodes.withColumn("open", F.col("n_sampled") - F.coalesce("shared", F.lit(0)) <= allowed).drop("shared", "n_sampled"), "nodes")
     open_ = nodes.where("open").select("name", "node", "n", "first_id")
     texts = docs.join(open_.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = _full_sets(texts, k).groupBy("name").agg(F.any_value("tokens").alias("tokens")).join(open_.select("name", "node", "n"), "name")
@@ -277,6 +283,7 @@ def keep_one(df: DataFrame, text: str = "text", k: int = SHINGLE, percent: int =
     keyed = df.withColumn("__key", F.md5(text))
     wordless = F.length(F.translate(F.coalesce(text, F.lit("")), " \t\n\x0b\x0c\r", "")) == 0
     alone = F.col("doc_id").isNull() | wordless
-    kept = keyed.where(~alone).join(first, (F.col("doc_id") == F.col("__doc")) & (F.col("__key") == F.col("__text")), "left_semi")
+    rest = keyed.where(~alone)
+    kept = rest.join(first, (rest["doc_id"] == first["__doc"]) & (rest["__key"] == first["__text"]), "left_semi")
     # Rows that repeat an id and a text are one.
     return kept.dropDuplicates(["doc_id", "__key"]).drop("__key").unionByName(df.where(alone))

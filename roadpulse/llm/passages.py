@@ -79,7 +79,7 @@ def _repeated_anchors(texts: DataFrame, window: int, gram: int, ranges: int) ->
             text, _, _, hashes = anchors(words, window, gram)
             yield repeats.pack(keys, text, hashes, ranges, report_several=True)
 
-    return repeats.repeated(texts.select("text"), send, 16)
+    return repeats.repeated(texts.select("text"), send, 16, ranges)
 
 
 def _stretches(texts: DataFrame, window: int, gram: int) -> DataFrame:
@@ -89,7 +89,7 @@ def _stretches(texts: DataFrame, window: int, gram: int) -> DataFrame:
         for piece in pieces(batches, "text"):
             words, keys, raw = _text_keys(piece, piece.schema.get_field_index("text"))
             lists = piece.column(piece.schema.get_field_index("hashes")).to_pylist()
-            wanted = [np.frombuffer(b"".join(x), np.uint64) for x in lists]
+            wanted = [np.frombuffer(x, np.uint64) for x in lists]
             text, first, windows, hashes = anchors(words, window, gram)
             bounds = np.searchsorted(text, np.arange(len(keys) + 1))
             out: list[list] = [[], [], [], [], []]
@@ -223,7 +223,7 @@ def _hash_masks(distinct: DataFrame, window: int, windows: int) -> DataFrame:
     def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "stretch"):
             owner, place, hashes = window_hashes(piece.column(0))
-            wanted = [np.frombuffer(b"".join(x), np.uint64) for x in piece.column(2).to_pylist()]
+            wanted = [np.frombuffer(x, np.uint64) for x in piece.column(2).to_pylist()]
             out = np.zeros(piece.num_rows, np.int64)
             bounds = np.searchsorted(owner, np.arange(piece.num_rows + 1))
             for i in range(piece.num_rows):
@@ -231,8 +231,8 @@ def _hash_masks(distinct: DataFrame, window: int, windows: int) -> DataFrame:
                 out[i] = (np.int64(1) << place[a:b][np.isin(hashes[a:b], wanted[i])]).sum()
             yield pa.RecordBatch.from_arrays([piece.column(1), pa.array(out)], names=["stretch_id", "mask"])
 
-    found = repeats.repeated(distinct.select("stretch", "stretch_id", "places"), send, 16)
-    found = found.groupBy(F.lower(F.hex("owner")).alias("stretch_id")).agg(F.collect_list("hashes").alias("hashes"))
+    found = repeats.repeated(distinct.select("stretch", "stretch_id", "places"), send, 16, ranges)
+    found = found.select(F.lower(F.hex("owner")).alias("stretch_id"), "hashes")
     joined = distinct.select("stretch", "stretch_id").join(found, "stretch_id").select("stretch", "stretch_id", "hashes")
     return joined.mapInArrow(masks, "stretch_id string, mask long")
 
@@ -243,9 +243,9 @@ def repeated_windows(df: DataFrame, text: str = "text", window: int = WINDOW, gr
         raise ValueError("a mask holds 62 windows")
     texts = df.select(F.col(text).alias("text")).where("text IS NOT NULL")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # About one anchor for every hundred bytes of text.
-    found = _repeated_anchors(texts, window, gram, repeats.range_count(size // 100))
-    found = stage(found.groupBy(F.col("owner").alias("key")).agg(F.collect_list("hashes").alias("hashes")), "repeated-anchors")
+    # More ranges than anchors need: about one anchor for every hundred bytes of text.
+    found = _repeated_anchors(texts, window, gram, repeats.range_count(size // 50))
+    found = stage(found.select(F.col("owner").alias("key"), "hashes"), "repeated-anchors")
     keyed = texts.withColumn("key", F.unhex(F.md5("text"))).join(found, "key")
     stretches = _stretches(keyed, window, gram).withColumn("stretch_id", F.md5("stretch"))
     stretches = stage(stretches, "stretches")

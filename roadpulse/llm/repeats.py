@@ -1,4 +1,4 @@
-"""Which of very many hashes occur only once, without a row per hash.
+"""Which of very many hashes occur more than once, without a row per hash.
 
 Tasks cut their hashes by value into ranges and send each range as one binary row per piece of
 texts.  A hash that a piece holds twice is sent once, without its owners, so a hash that is
@@ -16,8 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Hashes that one range holds on average.
-RANGE_HASHES = 1 << 20
+RANGE_HASHES = 1 << 21
 _SENT = "range int, owners binary, counts binary, single binary, several binary"
+#: What a range answers: repeated hashes, by owner, for one bucket of owners.
+_ANSWER = "bucket int, owners binary, counts binary, hashes binary"
 
 
 def range_count(hashes: int) -> int:
@@ -56,7 +58,7 @@ def pack(owners: list[bytes], owner_of: np.ndarray, hashes: np.ndarray, ranges:
             rows.append(_row(r, keys, single_of[a:b], single[a:b], several[c:d]))
     if report_several and not once.all():
         known, known_of = hashes[~once], owner_of[~once]
-        spread = np.array([int.from_bytes(o[:4], "little") % ranges for o in owners])
+        spread = _spread(keys, ranges).astype(np.int64)
         for r in np.unique(spread[known_of]):
             at = spread[known_of] == r
             rows.append(_row(-1 - int(r), keys, known_of[at], known[at], several[:0]))
@@ -85,41 +87,66 @@ def _gather(group: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np
     return keys, np.repeat(np.arange(len(keys)), counts), single, once
 
 
-def unique_counts(df: DataFrame, send: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], width: int) -> DataFrame:
-    """(owner, n): how many of an owner's hashes occur only once in all; owners without any are left out.
-
-    ``send`` turns batches of ``df`` into rows made by ``pack``.
+def _spread(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key, by its first four bytes."""
+    width = keys.dtype.itemsize
+    return keys.view(np.uint8).reshape(-1, width)[:, :4].copy().view("<u4")[:, 0] % np.uint32(buckets) if len(keys) else np.zeros(0, np.uint32)
+
+
+def _answer(group: pd.DataFrame, width: int, buckets: int, with_hashes: bool) -> pd.DataFrame:
+    """Repeated hashes of one range, as a row for each bucket of owners."""
+    keys, owner, hashes, once = _gather(group, width)
+    if group["range"].iloc[0] < 0:
+        once[:] = False
+    # Equal owners from different pieces become one.
+    names, same = np.unique(keys, return_inverse=True) if len(keys) else (keys, np.zeros(0, np.int64))
+    owner, hashes = same[owner[~once]], hashes[~once]
+    order = np.lexsort((hashes, owner))
+    owner, hashes = owner[order], hashes[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+    owner, hashes = owner[new], hashes[new]
+    present, start, counts = np.unique(owner, return_index=True, return_counts=True)
+    names = names[present]
+    bucket = _spread(names, buckets)
+    of_hash = np.repeat(bucket, counts)
+    rows = [
+        (int(b), names[bucket == b].tobytes(), counts[bucket == b].astype("<i4").tobytes(), hashes[of_hash == b].tobytes() if with_hashes else b"")
+        for b in np.unique(bucket)
+    ]
+    return pd.DataFrame(rows, columns=["bucket", "owners", "counts", "hashes"])
+
+
+def _answers(df: DataFrame, send: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], width: int, ranges: int, with_hashes: bool) -> DataFrame:
+    sent = df.mapInArrow(send, _SENT).groupBy("range")
+    return sent.applyInPandas(lambda group: _answer(group, width, ranges, with_hashes), _ANSWER).groupBy("bucket")
+
+
+def repeated_counts(df: DataFrame, send: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], width: int, ranges: int) -> DataFrame:
+    """(owner, n): how many different hashes of an owner occur elsewhere too, or twice with it; owners without any are left out.
+
+    ``send`` turns batches of ``df`` into rows made by ``pack`` with ``report_several``.
     """
 
-    def count(group: pd.DataFrame) -> pd.DataFrame:
-        keys, owner, _, once = _gather(group, width)
-        n = np.bincount(owner[once], minlength=len(keys))
-        return pd.DataFrame({"owner": [keys[i].tobytes() for i in np.flatnonzero(n)], "n": n[n > 0]})
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        names, same = np.unique(np.frombuffer(b"".join(group["owners"]), f"V{width}"), return_inverse=True)
+        n = np.bincount(same, weights=np.frombuffer(b"".join(group["counts"]), "<i4"), minlength=len(names))
+        return pd.DataFrame({"owner": [x.tobytes() for x in names], "n": n.astype(np.int64)})
 
-    found = df.mapInArrow(send, _SENT).groupBy("range").applyInPandas(count, "owner binary, n long")
-    return found.groupBy("owner").agg({"n": "sum"}).toDF("owner", "n")
+    return _answers(df, send, width, ranges, False).applyInPandas(add, "owner binary, n long")
 
 
-def repeated(df: DataFrame, send: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], width: int) -> DataFrame:
-    """(owner, hashes): hashes of an owner that occur twice or more in all, packed; an owner has a row per range.
+def repeated(df: DataFrame, send: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], width: int, ranges: int) -> DataFrame:
+    """(owner, hashes): the hashes of an owner that ``repeated_counts`` counts, packed; one row an owner."""
 
-    ``send`` packs with ``report_several``.
-    """
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        keys = np.frombuffer(b"".join(group["owners"]), f"V{width}")
+        counts = np.frombuffer(b"".join(group["counts"]), "<i4")
+        names, same = np.unique(keys, return_inverse=True)
+        owner = np.repeat(same, counts)
+        order = np.argsort(owner, kind="stable")
+        hashes = np.frombuffer(b"".join(group["hashes"]), np.uint64)[order]
+        start = np.searchsorted(owner[order], np.arange(1, len(names)))
+        return pd.DataFrame({"owner": [x.tobytes() for x in names], "hashes": [x.tobytes() for x in np.split(hashes, start)]})
 
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        keys, owner, hashes, once = _gather(group, width)
-        if group["range"].iloc[0] < 0:
-            once[:] = False
-        # Equal owners from different pieces become one.
-        names, same = np.unique(keys, return_inverse=True) if len(keys) else (keys, np.zeros(0, np.int64))
-        owner, hashes = same[owner[~once]], hashes[~once]
-        order = np.lexsort((hashes, owner))
-        owner, hashes = owner[order], hashes[order]
-        new = np.ones(len(owner), bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
-        owner, hashes = owner[new], hashes[new]
-        present, start = np.unique(owner, return_index=True)
-        return pd.DataFrame({"owner": [names[i].tobytes() for i in present], "hashes": [x.tobytes() for x in np.split(hashes, start[1:])] if len(present) else []})
-
-    found = df.mapInArrow(send, _SENT).groupBy("range").applyInPandas(pick, "owner binary, hashes binary")
-    return found.where("octet_length(hashes) > 0")
+    return _answers(df, send, width, ranges, True).applyInPandas(join, "owner binary, hashes binary")
