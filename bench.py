@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from roadpulse.plans import QUERIES, inputs  # noqa: E402
 
 BUILDS = {
+    "build_hourly": inputs.hourly,
     "build_first_rows": inputs.first_rows,
     "build_cleaned": inputs.cleaned,
     "build_featured": inputs.featured,
@@ -37,7 +38,8 @@ HEADLINE = [
     "frequent_itemsets", "association_rules", "rules_for_target", "zscore",
     "scenario_grid", "recommend_profile", "regression_metrics", "classification_metrics", "error_drift",
     "drift_report", "perturb_alert", "run_comparison", "best_run_per_model",
-    "reg_linear", "clf_logistic",
+    "reg_linear", "clf_logistic", "clf_forest", "reg_gbt", "reg_lag_forest", "permutation_importance",
+    "choose_k", "kmeans", "batch_score_volume", "stream_clean", "stream_drift",
 ]
 
 
@@ -50,6 +52,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.files.minPartitionNum", cpus)
+        .config("spark.sql.files.maxPartitionBytes", "4m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

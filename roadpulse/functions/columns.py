@@ -126,6 +126,7 @@ def high_risk(category: Column, severe_flag: Column, low_visibility_flag: Column
 
 # -- report wording ---------------------------------------------------------
 def correlation_strength(r: Column) -> Column:
+    # Names and limits of the bands.
     size = F.abs(r)
     return (
         F.when(r.isNull(), None)
@@ -152,7 +153,8 @@ def cluster_label(hour: Column, weather_severity: Column, volume: Column) -> Col
         .otherwise("severe weather")
     )
     traffic = F.when(volume < 2000, "low").when(volume < 4500, "moderate").otherwise("high")
-    return F.concat_ws("; ", when, weather, F.concat(traffic, F.lit(" volume")))
+    mean = F.concat(F.round(volume, 0).cast("bigint").cast("string"), F.lit(" vehicles an hour"))
+    return F.concat_ws("; ", when, weather, F.concat(traffic, F.lit(" volume, "), mean))
 
 
 def alert(flag: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import columns as C
 from roadpulse.operators.ranks import running_totals
+from roadpulse.sources.storage import stage
 
 
 # Keys with a fixed number of values: at most 24 x 7 x 2 x 2 combinations.
@@ -16,12 +17,17 @@ CALENDAR = {"hour", "day_of_week", "is_weekend", "is_holiday"}
 
 
 def regression_metrics(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
-    """Mean absolute error and R squared in one aggregation."""
-    actual, error = F.col(y).cast("double"), F.col(y).cast("double") - F.col(pred)
+    """Mean absolute error and R squared in one aggregation.
+
+    Rows without a value or a prediction are left out of both and counted in ``n_left_out``.
+    """
+    error = F.col(y).cast("double") - F.col(pred)
+    actual = F.when(error.isNotNull(), F.col(y).cast("double"))
     return df.groupBy(*by).agg(
         F.avg(F.abs(error)).alias("MAE"),
         (1 - C.ratio(F.sum(error * error), F.var_pop(actual) * F.count(actual))).alias("R2"),
-        F.count(F.lit(1)).alias("n"),
+        F.count(error).alias("n"),
+        (F.count(F.lit(1)) - F.count(error)).alias("n_left_out"),
     )
 
 
@@ -83,6 +89,10 @@ def mean_profile(train: DataFrame, by: Sequence[str], target: str = "traffic_vol
 
 
 def predict_from_profile(df: DataFrame, profile: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach the profile's prediction; the table itself is not shuffled for calendar profiles."""
+    """Attach the profile's prediction; the table itself is not shuffled for calendar profiles.
+
+    Other profiles are written first: the join then knows their size, broadcasts them below the
+    threshold, and beyond it splits keys that hold many rows.
+    """
     bounded = set(by) <= CALENDAR
-    return df.join(F.broadcast(profile) if bounded else profile, list(by), "left")
+    return df.join(F.broadcast(profile) if bounded else stage(profile, "profile"), list(by), "left")

@@ -18,29 +18,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse import schema as S
-from roadpulse.operators.drift import sample_rows
 from roadpulse.operators.metrics import regression_metrics
 from roadpulse.sources.storage import stage
 
 LAG_COLUMNS = [f"lag_{k}" for k in range(1, S.LOOKBACK + 1)]
-BAG_PARTS = 64
+# Rows of a range whose values are exchanged when a feature's importance is measured.
+EXCHANGE_ROWS = 10_000
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
 
-def _one_file(df: DataFrame, name: str) -> DataFrame:
-    """Write a small training table as one partition.
-
-    Iterative fits run hundreds of short passes; on a table bounded by the
-    number of feature combinations, more partitions only add task overhead.
-    A shuffle rather than a coalesce, so that the aggregation before it stays
-    spread over all tasks.
-    """
-    return stage(df.repartition(1), name)
-
-
 # -- training tables ----------------------------------------------------------
 def regression_cells(
     train: DataFrame, features: Sequence[str] = tuple(S.FEATURES), target: str = S.VOLUME
@@ -75,23 +64,10 @@ def classification_cells(
     )
 
 
-def bag_parts(cells: DataFrame, parts: int = BAG_PARTS) -> DataFrame:
-    """Split each combination into up to ``parts`` equal portions for bagging.
-
-    A forest redraws its training rows per tree.  Redrawing portions equals
-    redrawing rows for combinations of up to ``parts`` rows, and keeps the
-    total weight of larger ones while bounding the table.
-    """
-    pieces = F.least(F.col("n"), F.lit(parts)).cast("int")
-    return cells.withColumn("weight", F.col("weight") / pieces).withColumn(
-        "_part", F.explode(F.sequence(F.lit(1), pieces))
-    ).drop("_part")
-
-
 # -- fits -------------------------------------------------------------------------
 def fit_logistic(train: DataFrame, features: Sequence[str] = tuple(S.FEATURES), max_iter: int = 1000) -> PipelineModel:
     """Balanced logistic regression with unit inverse penalty on the summed loss."""
-    cells = _one_file(classification_cells(train, features), "logistic_cells")
+    cells = stage(classification_cells(train, features), "logistic_cells")
     rows = cells.agg(F.sum("n").alias("n")).first()["n"]
     model = LogisticRegression(
         weightCol="weight", maxIter=max_iter, standardization=False, regParam=1.0 / rows, elasticNetParam=0.0
@@ -105,18 +81,22 @@ def fit_forest_classifier(
     trees: int = 200,
     depth: int = 10,
     seed: int = 42,
+    label: str = "high_risk",
 ) -> PipelineModel:
-    parts = stage(bag_parts(classification_cells(train, features)), "forest_parts")
+    """A forest redraws its training rows for each tree, so it trains on the rows, weighted by class."""
+    weights = class_weights(train, label).select("label", F.col("class_weight").alias("weight"))
+    rows = train.select(*features, F.col(label).cast("double").alias("label")).join(F.broadcast(weights), "label")  # one row per class
+    rows = stage(rows, "forest_rows")
     model = RandomForestClassifier(
         weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt",
         maxMemoryInMB=1024,
     )
-    return Pipeline(stages=[_assembler(features), model]).fit(parts)
+    return Pipeline(stages=[_assembler(features), model]).fit(rows)
 
 
 def fit_linear(train: DataFrame, features: Sequence[str] = tuple(S.FEATURES)) -> PipelineModel:
     """Unpenalised least squares by the normal equations."""
-    cells = _one_file(regression_cells(train, features), "linear_cells")
+    cells = stage(regression_cells(train, features), "linear_cells")
     model = LinearRegression(weightCol="weight", solver="normal", regParam=0.0)
     return Pipeline(stages=[_assembler(features), model]).fit(cells)
 
@@ -129,7 +109,7 @@ def fit_boosting(
     rate: float = 0.1,
     seed: int = 42,
 ) -> PipelineModel:
-    cells = _one_file(regression_cells(train, features), "boosting_cells")
+    cells = stage(regression_cells(train, features), "boosting_cells")
     model = GBTRegressor(weightCol="weight", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
     return Pipeline(stages=[_assembler(features), model]).fit(cells)
 
@@ -213,20 +193,21 @@ def permutation_importance(
     df: DataFrame,
     features: Sequence[str],
     target: str = S.VOLUME,
-    rows: int = 1000,
     seed: int = 42,
 ) -> DataFrame:
-    """Rise in mean absolute error when one feature's values are shuffled.
+    """Rise in mean absolute error when one feature's values are shuffled, over all rows.
 
-    Works on a sample of at most ``rows`` rows, as the report it feeds does.
-    Each sampled row takes the value of the next row in hash order; all
-    features are scored in a single pass.
+    Rows are dealt by hash into ranges of about ``EXCHANGE_ROWS``; each takes
+    the value of the next row of its range in hash order.  All features are
+    scored in a single pass.
     """
-    sample = sample_rows(df.select(*S.KEY, S.TS, target, *features), rows, seed=seed)
-    mixed = Window.partitionBy().orderBy(F.xxhash64(F.lit(seed + 1), *S.KEY, S.TS), *S.KEY, S.TS)
+    rows = stage(df.select(*S.KEY, S.TS, target, *features), "importance_rows")
+    ranges = max(1, round(rows.count() / EXCHANGE_ROWS))
+    place = F.xxhash64(F.lit(seed), *S.KEY, S.TS)
+    mixed = Window.partitionBy("_range").orderBy(F.xxhash64(F.lit(seed + 1), *S.KEY, S.TS), *S.KEY, S.TS)
     whole = mixed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     donor = F.struct(*features)
-    paired = sample.withColumn("_donor", F.coalesce(F.lead(donor).over(mixed), F.first(donor).over(whole)))
+    paired = rows.withColumn("_range", F.pmod(place, F.lit(ranges))).withColumn("_donor", F.coalesce(F.lead(donor).over(mixed), F.first(donor).over(whole)))
     paired = paired.withColumn("_shuffled", F.explode(F.array(F.lit(""), *[F.lit(f) for f in features])))
     variants = paired.withColumns({
         f: F.when(F.col("_shuffled") == f, F.col(f"_donor.{f}")).otherwise(F.col(f)) for f in features

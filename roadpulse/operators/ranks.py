@@ -41,7 +41,11 @@ def running_totals(
     """
     by = list(by)
     cuts = [i / ranges for i in range(1, ranges)]
-    bounds = counts.groupBy(*by).agg(F.percentile_approx(value, cuts, 20 * ranges).alias("_bounds"))
+    # The totals keep the weights in this aggregate, so that it shares the exchange of ``counts``.
+    bounds = counts.groupBy(*by).agg(
+        F.percentile_approx(value, cuts, 20 * ranges).alias("_bounds"),
+        *[F.sum(w).alias(f"{w}_total") for w in weights],
+    )
     # Without groups the bounds are a single row, which is a safe broadcast;
     # with any number of groups the join strategy is left to the measured size.
     if not by:
@@ -58,7 +62,6 @@ def running_totals(
         *by,
         "_range",
         *[F.coalesce(F.sum(f"_sum_{w}").over(earlier), F.lit(0)).alias(f"_start_{w}") for w in weights],
-        *[F.sum(f"_sum_{w}").over(Window.partitionBy(*by)).alias(f"{w}_total") for w in weights],
     )
     inside = (
         Window.partitionBy("_range", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)

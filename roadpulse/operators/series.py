@@ -90,8 +90,11 @@ def share(of: float = S.TRAIN_SHARE, skip: int = 0) -> Callable[[Column], Column
     return lambda n: F.when(n > skip, skip + F.floor(F.lit(of) * (n - skip))).otherwise(0)
 
 
-def _written_cuts(
-    df: DataFrame, positions: Mapping[str, Callable[[Column], Column]], key: Sequence[str], ts: str
+def written_cuts(
+    df: DataFrame,
+    positions: Mapping[str, Callable[[Column], Column]],
+    key: Sequence[str] = tuple(S.KEY),
+    ts: str = S.TS,
 ) -> DataFrame:
     """Cut times as a written table, so that its true size is known when joining.
 
@@ -114,7 +117,7 @@ def chronological_split(
     series.  ``skip`` is the number of lead-in rows that lag building drops, so
     that the share is taken of the remaining rows.
     """
-    cuts = _written_cuts(df, {"_train_end": share(train_share, skip)}, key, ts)
+    cuts = written_cuts(df, {"_train_end": share(train_share, skip)}, key, ts)
     return (
         df.join(cuts, list(key), "left")
         .withColumn("is_train", F.coalesce(F.col(ts) <= F.col("_train_end"), F.lit(False)))
@@ -136,7 +139,7 @@ def split_halves(
         "_half_end": lambda n: train(n) + F.floor((n - train(n)) / 2),
         "_first_end": lambda n: F.least(n, train(n) + first_n),
     }
-    cuts = _written_cuts(df, positions, key, ts)
+    cuts = written_cuts(df, positions, key, ts)
     at = F.col(ts)
     return (
         df.join(cuts, list(key), "left")

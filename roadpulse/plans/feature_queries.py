@@ -10,6 +10,7 @@ from roadpulse.operators import features, metrics, series
 from roadpulse.plans import inputs
 from roadpulse.plans.oracle import r, rounded, sql
 from roadpulse.plans.registry import query
+from roadpulse.sources.storage import stage
 
 _AT = "corridor, ts"
 _ONE_HOT = [f"weather_{w}" for w in S.WEATHER_VALUES]
@@ -173,15 +174,15 @@ def sequence_windows(spark, sf_dir):
 def train_only_norm(spark, sf_dir):
     """Scale by the training part's mean and deviation, and back again."""
     sequences = series.sequence_windows(inputs.cleaned(spark, sf_dir))
-    cuts = series.times_at_positions(
-        inputs.cleaned(spark, sf_dir), {"train_end": series.share(S.TRAIN_SHARE, S.LOOKBACK)}
-    ).drop("series_rows")
-    placed = sequences.join(cuts, "corridor", "left").withColumn(
+    # Only the scaled columns are written; both the scale and the result read them.
+    needed = sequences.select("corridor", "ts", "y", F.try_element_at("x", F.lit(-1)).alias("last"))
+    cuts = series.written_cuts(inputs.cleaned(spark, sf_dir), {"train_end": series.share(S.TRAIN_SHARE, S.LOOKBACK)})
+    placed = stage(needed, "sequences").join(cuts, "corridor", "left").withColumn(
         "is_train", F.coalesce(F.col("ts") <= F.col("train_end"), F.lit(False))
     )
     scale = series.train_scale(placed, "y")
     norm = C.ratio(F.col("y") - F.col("train_mean"), F.col("train_std"))
-    last = C.ratio(F.try_element_at("x", F.lit(-1)) - F.col("train_mean"), F.col("train_std"))
+    last = C.ratio(F.col("last") - F.col("train_mean"), F.col("train_std"))
     return placed.crossJoin(F.broadcast(scale)).select(  # one row
         "corridor", "ts", "is_train", norm.alias("y_norm"), last.alias("last_norm"),
         F.round(norm * F.col("train_std") + F.col("train_mean"), 4).alias("y_back"),
@@ -192,7 +193,7 @@ def train_only_norm(spark, sf_dir):
     , t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY corridor ORDER BY ts)
         <= floor(0.8E0 * count(*) OVER (PARTITION BY corridor)) AS is_train FROM lagged) WHERE NOT is_train)
     SELECT {r('avg(abs(traffic_volume - lag_1))')} AS MAE,
-      {r('1 - sum(power(traffic_volume - lag_1, 2)) / sum(power(traffic_volume - m, 2))')} AS R2, count(*) AS n
+      {r('1 - sum(power(traffic_volume - lag_1, 2)) / sum(power(traffic_volume - m, 2))')} AS R2, count(*) AS n, CAST(0 AS BIGINT) AS n_left_out
     FROM t, (SELECT avg(traffic_volume) AS m FROM t)"""))
 def naive_forecast(spark, sf_dir):
     """The last value as the next one: the yardstick for the sequence models."""

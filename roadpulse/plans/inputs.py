@@ -1,7 +1,7 @@
 """Tables the queries start from.
 
-``traffic_raw`` and the hourly view are lazy.  The cleaned and the featured
-table are stage boundaries: they are written once per application and read by
+``traffic_raw`` is lazy.  The hourly view, the cleaned and the featured table
+are stage boundaries: they are written once per application and read by
 many queries, as one would between the cleaning job and its consumers.
 """
 
@@ -28,10 +28,12 @@ _written: dict[tuple[str, str, str], DataFrame] = {}
 _saved: dict[tuple[str, str, str], str] = {}
 
 
-def _written_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _written_once(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None
+) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        _written[key] = stage(build(), name)
+        _written[key] = stage(build(), name, partition_by)
     # A fresh reader per use: a DataFrame joined with itself needs new column ids.
     return _written[key].select("*")
 
@@ -50,8 +52,16 @@ def parsed(spark: SparkSession, sf_dir: str, **years: int) -> DataFrame:
     return cleaning.parse_times(cleaning.standardise_text(raw(spark, sf_dir, **years)))
 
 
-def hourly(spark: SparkSession, sf_dir: str, **years: int) -> DataFrame:
-    return cleaning.hourly_from_raw(raw(spark, sf_dir, **years))
+def hourly(spark: SparkSession, sf_dir: str, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """The saved hourly view, written by year; a year range reads only its folders."""
+    view = _written_once(
+        spark, sf_dir, "hourly", lambda: cleaning.hourly_from_raw(raw(spark, sf_dir)).withColumn("_year", F.year("ts")), ["_year"]
+    )
+    if first_year is not None:
+        view = view.filter(F.col("_year") >= first_year)
+    if last_year is not None:
+        view = view.filter(F.col("_year") <= last_year)
+    return view.drop("_year")
 
 
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

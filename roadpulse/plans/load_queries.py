@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roadpulse import schema as S
 from roadpulse.functions import columns as C
-from roadpulse.operators import cleaning, loading
+from roadpulse.operators import cleaning, jobs, loading
 from roadpulse.operators.series import chronological_split
 from roadpulse.plans import inputs
 from roadpulse.plans.oracle import r, rounded, sql
@@ -57,6 +57,17 @@ def sink_cleaned(spark, sf_dir):
     )
 
 
+@query("cleaning_job", sql("cleaned", """
+    SELECT year(ts) AS year, count(*) AS cleaned_hours, count(*) AS featured_hours FROM cleaned GROUP BY 1"""))
+def cleaning_job(spark, sf_dir):
+    """Raw file to both tables in one job; hours of each table by year."""
+    source, target = new_path(spark, "raw_csv"), new_path(spark, "tables")
+    inputs.raw(spark, sf_dir).write.option("header", True).csv(source)
+    jobs.run_pipeline(spark, source, target)
+    tables = [files.load_features(spark, f"{target}/{name}").groupBy("year").agg(F.count(F.lit(1)).alias(f"{name}_hours")) for name in ("cleaned", "featured")]
+    return tables[0].join(tables[1], "year", "full")
+
+
 @query("verify_load", sql("traffic_raw", """
     SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(10 AS BIGINT) AS column_count,
       'corridor, holiday, temp, rain_1h, snow_1h, clouds_all, weather_main, weather_description, date_time, traffic_volume' AS columns,

@@ -123,7 +123,7 @@ def cluster_summary(spark, sf_dir):
 @query("cluster_describe", sql("clustered", """
     SELECT CAST(cluster AS BIGINT) AS cluster, CASE WHEN h < 6 OR h > 21 THEN 'overnight/off-peak' WHEN h < 16 THEN 'daytime/commute-adjacent' ELSE 'evening peak' END
       || '; ' || CASE WHEN s < 1 THEN 'clear/mild' WHEN s < 2 THEN 'cloudy' WHEN s < 3 THEN 'wet/reduced-visibility' ELSE 'severe weather' END
-      || '; ' || CASE WHEN v < 2000 THEN 'low' WHEN v < 4500 THEN 'moderate' ELSE 'high' END || ' volume' AS label
+      || '; ' || CASE WHEN v < 2000 THEN 'low' WHEN v < 4500 THEN 'moderate' ELSE 'high' END || ' volume, ' || CAST(CAST(round(v, 0) AS BIGINT) AS VARCHAR) || ' vehicles an hour' AS label
     FROM (SELECT cluster, round(avg(hour), 1) AS h, round(avg(weather_severity), 1) AS s, round(avg(traffic_volume), 1) AS v FROM clustered GROUP BY 1)"""))
 def cluster_describe(spark, sf_dir):
     return clustering.cluster_summary(_given_clusters(spark, sf_dir)).select(

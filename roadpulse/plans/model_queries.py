@@ -12,10 +12,6 @@ from roadpulse.plans.oracle import define, r, rounded, sql
 from roadpulse.plans.registry import query
 from roadpulse.sources.storage import new_path
 
-# Trees of the forest over lags in its registered queries; the operator's own
-# default is 200, which takes minutes on one machine.
-LAG_TREES = 40
-
 _FEATURES = ", ".join(f'"{f}"' for f in S.FEATURES)
 
 
@@ -108,7 +104,7 @@ def recommend_message(spark, sf_dir):
 
 # -- metrics on given predictions -----------------------------------------------------
 define("predictions", ["test_rows", "profile_any", "split"], """
-    SELECT t.*, p.m AS pred, coalesce(k.score, 0E0) AS score FROM test_rows t JOIN profile_any p USING (hour, is_weekend)
+    SELECT t.*, p.m AS pred, coalesce(k.score, 0E0) AS score FROM test_rows t LEFT JOIN profile_any p USING (hour, is_weekend)
     LEFT JOIN (SELECT hour, weather_main, avg(high_risk) AS score FROM split WHERE is_train GROUP BY 1, 2) k USING (hour, weather_main)""")
 
 
@@ -125,8 +121,9 @@ def _predictions(spark, sf_dir):
 
 @query("regression_metrics", sql("predictions", f"""
     SELECT t.corridor, {r('avg(abs(traffic_volume - pred))', 5)} AS MAE,
-      {r('1 - sum(power(traffic_volume - pred, 2)) / sum(power(traffic_volume - m, 2))', 5)} AS R2, count(*) AS n
-    FROM predictions t JOIN (SELECT corridor, avg(traffic_volume) AS m FROM predictions GROUP BY 1) k ON k.corridor = t.corridor GROUP BY 1"""), digits=5)
+      {r('1 - sum(power(traffic_volume - pred, 2)) / sum(power(traffic_volume - m, 2)) FILTER (pred IS NOT NULL)', 5)} AS R2,
+      count(pred) AS n, count(*) - count(pred) AS n_left_out
+    FROM predictions t JOIN (SELECT corridor, avg(traffic_volume) FILTER (pred IS NOT NULL) AS m FROM predictions GROUP BY 1) k ON k.corridor = t.corridor GROUP BY 1"""), digits=5)
 def regression_metrics(spark, sf_dir):
     return metrics.regression_metrics(_predictions(spark, sf_dir), "traffic_volume", by=["corridor"])
 
@@ -318,11 +315,21 @@ def _run_rows(spark, sf_dir):
     return runlog.union_runs(*tables)
 
 
+_logs: dict[tuple[str, str, str], str] = {}
+
+
+def _log_of(spark, sf_dir, name, rows):
+    """The log as its readers find it: appended files, written by the first query that reads it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _logs:
+        path = new_path(spark, name)
+        runlog.append_runs(rows(spark, sf_dir), path)
+        _logs[key] = path
+    return runlog.read_log(spark, _logs[key])
+
+
 def _run_log(spark, sf_dir):
-    """The log as its readers find it: appended files."""
-    path = new_path(spark, "run_log")
-    runlog.append_runs(_run_rows(spark, sf_dir), path)
-    return runlog.read_log(spark, path)
+    return _log_of(spark, sf_dir, "run_log", _run_rows)
 
 
 @query("run_log_append", sql("run_log", """
@@ -434,7 +441,7 @@ def _boosting(spark, sf_dir):
 
 def _lag_forest(spark, sf_dir):
     return inputs.fitted(spark, sf_dir, "lag_forest", lambda: models.fit_lag_forest(
-        inputs.lag_table(spark, sf_dir).filter("is_train"), trees=LAG_TREES))
+        inputs.lag_table(spark, sf_dir).filter("is_train")))
 
 
 def _risk_metrics(spark, sf_dir, model):
@@ -485,6 +492,74 @@ def model_comparison(spark, sf_dir):
     return runlog.union_runs(*[table.withColumn("model", F.lit(name)) for name, table in rows])
 
 
+# Of every fit: run name, task, and the parameters it was made with.
+_FITS = {
+    "LogisticRegression": ("classification_high_risk", {}),
+    "RandomForestClassifier": ("classification_high_risk", {"n_estimators": 200, "max_depth": 10}),
+    "LinearRegression": ("regression_traffic_volume", {}),
+    "GradientBoostingRegressor": ("regression_traffic_volume", {"n_estimators": 200, "max_depth": 4}),
+    "LagForest": ("forecast_traffic_volume", {"n_estimators": 200, "max_depth": 10, "lookback": S.LOOKBACK}),
+}
+
+
+def _fit_rows(spark, sf_dir):
+    """One run for each fitted model with its parameters and its metrics on the test rows."""
+    measured = model_comparison(spark, sf_dir).unionByName(
+        reg_lag_forest(spark, sf_dir).withColumn("model", F.lit("LagForest")), allowMissingColumns=True
+    )
+    names = ["MAE", "R2", "accuracy", "precision", "recall", "f1", "roc_auc"]
+    logged = runlog.as_map({n: F.col(n) for n in names}, "double").alias("metrics")
+    return runlog.union_runs(*[
+        measured.filter(F.col("model") == model).select(
+            F.lit("trained_models").alias("experiment"),
+            F.lit(f"{task}_{model}").alias("run_name"),
+            F.current_timestamp().cast("timestamp_ntz").alias("start_time"),
+            runlog.as_map({"model": F.lit(model), "task": F.lit(task), **{k: F.lit(v) for k, v in params.items()}}, "string").alias("params"),
+            logged,
+        )
+        for model, (task, params) in _FITS.items()
+    ])
+
+
+@query("trained_runs", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{model}', '{task}', {params.get('n_estimators', 'NULL')}, {params.get('max_depth', 'NULL')}, {params.get('lookback', 'NULL')}, "
+    f"{str('regression' not in task and 'forecast' not in task).upper()}, {str('classification' not in task).upper()})"
+    for model, (task, params) in _FITS.items()
+) + ") v(model, task, n_estimators, max_depth, lookback, has_auc, has_mae)")
+def trained_runs(spark, sf_dir):
+    """What the fits logged, read back as comparisons read it."""
+    runs = runlog.run_comparison(_log_of(spark, sf_dir, "trained_runs", _fit_rows))
+    whole = [F.col(c).cast("int").alias(c) for c in ("n_estimators", "max_depth", "lookback")]
+    return runs.select("model", "task", *whole, F.col("roc_auc").isNotNull().alias("has_auc"), F.col("MAE").isNotNull().alias("has_mae"))
+
+
+@query("model_ranking", "SELECT TRUE AS boosting_beats_linear, TRUE AS lag_forest_beats_linear, TRUE AS all_better_than_chance")
+def model_ranking(spark, sf_dir):
+    """Order of the fitted models by their logged metrics."""
+    runs = runlog.run_comparison(_log_of(spark, sf_dir, "trained_runs", _fit_rows))
+    of = lambda model, metric: F.max(F.when(F.col("model") == model, F.col(metric)))
+    return runs.agg(
+        (of("GradientBoostingRegressor", "MAE") < of("LinearRegression", "MAE")).alias("boosting_beats_linear"),
+        (of("LagForest", "MAE") < of("LinearRegression", "MAE")).alias("lag_forest_beats_linear"),
+        (F.min("roc_auc") > 0.5).alias("all_better_than_chance"),
+    )
+
+
+@query("linear_normal_equations", sql("split_flagged", " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature, round(sum("{f}" * traffic_volume), 2) AS label_sum, TRUE AS fitted_equals FROM split_flagged WHERE is_train""" for f in S.FEATURES)), digits=2)
+def linear_normal_equations(spark, sf_dir):
+    """Least squares: over the training rows, prediction and label have the same sum with every feature."""
+    scored = models.predict_volume(_linear(spark, sf_dir), inputs.train_rows(spark, sf_dir))
+    sums = scored.agg(*[
+        F.struct(
+            F.lit(f).alias("feature"), F.sum(F.col(f) * F.col("traffic_volume")).cast("double").alias("label_sum"),
+            (F.abs(F.sum(F.col(f) * (F.col("traffic_volume") - F.col("pred")))) <= 1e-4 * F.sum(F.abs(F.col(f) * F.col("traffic_volume")))).alias("fitted_equals"),
+        ).alias(f"f{i}")
+        for i, f in enumerate(S.FEATURES)
+    ])
+    return sums.select(F.inline(F.array(*[f"f{i}" for i in range(len(S.FEATURES))])))
+
+
 @query("forecast_next")
 def forecast_next(spark, sf_dir):
     """Next value from the previous 24, with the absolute error, for every test row."""
@@ -534,6 +609,20 @@ def batch_score_risk(spark, sf_dir):
     return scored.select(*_ASKED, "high_risk_probability", "high_risk_prediction")
 
 
+@query("batch_score_counts", sql("checked_scenarios", """
+    SELECT day_type, weather, is_holiday, count(*) FILTER (reason IS NULL) AS volume_answers, count(*) FILTER (reason IS NULL) AS risk_answers,
+      TRUE AS in_range FROM checked_scenarios WHERE reason IS NULL GROUP BY ALL"""))
+def batch_score_counts(spark, sf_dir):
+    """Answers of both batch scorers by situation."""
+    by = ["day_type", "weather", "is_holiday"]
+    volume = batch_score_volume(spark, sf_dir).groupBy(*by).agg(F.count("predicted_traffic_volume").alias("volume_answers"))
+    share = F.col("high_risk_probability")
+    risk = batch_score_risk(spark, sf_dir).groupBy(*by).agg(
+        F.count(share).alias("risk_answers"), F.min((share >= 0) & (share <= 1)).alias("in_range")
+    )
+    return volume.join(risk, by).withColumn("is_holiday", F.col("is_holiday").cast("boolean"))
+
+
 @query("scenario_curves")
 def scenario_curves(spark, sf_dir):
     grid = scenarios.scenario_grid(inputs.observed_scenarios(spark, sf_dir))
@@ -552,6 +641,14 @@ def recommend_model_message(spark, sf_dir):
     return scenarios.recommendation_messages(recommend_model(spark, sf_dir))
 
 
+@query("recommend_model_places", sql("scenarios", "SELECT day_type, weather, is_holiday, 3 AS places, TRUE AS in_hours FROM scenarios"))
+def recommend_model_places(spark, sf_dir):
+    """Three places inside the travel hours for every situation."""
+    return recommend_model(spark, sf_dir).groupBy("day_type", "weather", F.col("is_holiday").cast("boolean").alias("is_holiday")).agg(
+        F.countDistinct("hour").alias("places"), F.min(F.col("hour").between(6, 22)).alias("in_hours")
+    )
+
+
 # -- clusters -------------------------------------------------------------------------------------
 def _vectors(spark, sf_dir):
     points = clustering.cluster_features(inputs.featured(spark, sf_dir))
@@ -564,11 +661,28 @@ def choose_k(spark, sf_dir):
     return table
 
 
+@query("kmeans_totals", sql("timed", """
+    SELECT count(*) AS hours, CAST(sum(traffic_volume) AS BIGINT) AS volume, CAST(sum(hour) AS BIGINT) AS hour_sum, TRUE AS no_empty_cluster
+    FROM timed WHERE traffic_volume IS NOT NULL"""))
+def kmeans_totals(spark, sf_dir):
+    """Clusters divide the hours: weights and weighted sums over clusters are those of all hours."""
+    vectors = _vectors(spark, sf_dir)
+    model, _ = clustering.choose_k(vectors)
+    weight = F.col("weight")
+    parts = model.transform(vectors).groupBy("cluster").agg(
+        F.sum(weight).alias("n"), F.sum(weight * F.col("traffic_volume")).alias("v"), F.sum(weight * F.col("hour")).alias("h")
+    )
+    return parts.agg(
+        F.sum("n").cast("bigint").alias("hours"), F.sum("v").cast("bigint").alias("volume"), F.sum("h").cast("bigint").alias("hour_sum"),
+        (F.count(F.lit(1)) == model.getK()).alias("no_empty_cluster"),
+    )
+
+
 @query("kmeans")
 def kmeans(spark, sf_dir):
-    """Mean hour, severity and volume per cluster with its description, for three clusters."""
+    """Mean hour, severity and volume per cluster with its description, for the number of clusters that fits best."""
     vectors = _vectors(spark, sf_dir)
-    model = clustering.fit_kmeans(vectors, 3)
+    model, _ = clustering.choose_k(vectors)
     summary = clustering.weighted_summary(model.transform(vectors))
     return summary.withColumn(
         "label", C.cluster_label(F.col("hour"), F.col("weather_severity"), F.col("traffic_volume"))

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 from roadpulse import schema as S
 from roadpulse.operators import cleaning
-from roadpulse.sources.storage import new_path
 
 _BROKEN = "_broken"
 
@@ -103,7 +102,7 @@ def save_csv(df: DataFrame, path: str) -> None:
 
 
 def load_features(spark: SparkSession, path: str) -> DataFrame:
-    """The featured table.  No global sort: operators state the order they need."""
+    """A table saved by year.  No global sort: operators state the order they need."""
     return spark.read.parquet(path)
 
 
@@ -119,9 +118,3 @@ def load_hourly(spark: SparkSession, raw: DataFrame, name: str = "traffic_hourly
     if spark.catalog.tableExists(name):
         return spark.table(name)
     return cleaning.keep_first(cleaning.parse_times(cleaning.standardise_text(raw)))
-
-
-def save_and_reload(df: DataFrame, name: str) -> DataFrame:
-    path = new_path(df.sparkSession, name)
-    replace_table(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,16 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _readers[key].select("*")
 
 
-def spread(df: DataFrame, by: str) -> DataFrame:
-    """Use all cores for a scan with fewer splits than cores.
-
-    A small file is one split and would keep one core busy.  Anything larger
-    already has more splits than cores and passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
-
-
 def _weather(bucket: Column) -> Column:
     shares = [
         (33, "Clear"), (64, "Clouds"), (76, "Rain"), (83, "Mist"), (88, "Snow"),
@@ -73,10 +63,7 @@ def traffic_raw(
     if last_year is not None:
         lines = lines.filter(F.col("l_shipdate") < F.lit(f"{last_year + 1}-01-01").cast("timestamp_ntz"))
 
-    lines = spread(
-        lines.select("l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), "l_orderkey"
-    )
-
+    lines = lines.select("l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     base = lines.select(
         F.col("l_shipdate").cast("date").alias("d"),

@@ -51,7 +51,12 @@ def monitor_stream(
     """Append one row per finished day and feature to ``path``."""
 
     def write(batch: DataFrame, number: int) -> None:
-        daily_drift(batch, training).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        # Several branches of the plan read the batch; its state must be worked out once.
+        batch.persist()
+        try:
+            daily_drift(batch, training).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        finally:
+            batch.unpersist()
 
     return (
         daily_counts(rows, features)

@@ -44,10 +44,21 @@ def test_cells_keep_every_row(road):
     assert models.regression_cells(train).agg(F.sum("weight")).first()[0] == n
     cells = models.classification_cells(train)
     assert cells.agg(F.sum("n")).first()[0] == n
-    # Balanced weights sum to the row count, split into portions or not.
+    # Balanced weights sum to the row count.
     assert cells.agg(F.sum("weight")).first()[0] == pytest.approx(n)
-    assert models.bag_parts(cells, 3).agg(F.sum("weight")).first()[0] == pytest.approx(n)
-    assert models.bag_parts(cells, 10**6).count() == n
+
+
+def test_rows_without_a_prediction_are_left_out(spark):
+    df = spark.createDataFrame([(0.0, None), (10.0, 12.0), (20.0, 18.0), (None, 1.0)], "y double, pred double")
+    got = metrics.regression_metrics(df).first()
+    assert (got.MAE, got.n, got.n_left_out) == (2.0, 2, 2) and got.R2 == pytest.approx(1 - 8 / 50)
+
+
+def test_importance_uses_every_row(spark, road):
+    train, test = road[1].filter("is_train"), road[1].filter("NOT is_train")
+    model = models.fit_linear(train)
+    got = {r.feature: r.importance for r in models.permutation_importance(model, test, S.FEATURES).collect()}
+    assert set(got) == set(S.FEATURES) and max(got, key=got.get) in ("hour_sin", "hour_cos", "hour")
 
 
 def test_ranking_of_models(spark, road, tmp_path):
@@ -96,7 +107,7 @@ def test_lag_forest(spark, road):
     model = models.fit_lag_forest(lagged.filter("is_train"), trees=5, depth=6)
     test = lagged.filter("NOT is_train")
     assert metrics.regression_metrics(models.predict_volume(model, test), "traffic_volume").first()["R2"] > 0.7
-    ranking = models.permutation_importance(model, test, models.LAG_COLUMNS + S.FEATURES, rows=200).collect()
+    ranking = models.permutation_importance(model, test, models.LAG_COLUMNS + S.FEATURES).collect()
     assert len(ranking) == len(models.LAG_COLUMNS + S.FEATURES)
     assert ranking[0]["importance"] > 0
 
