@@ -104,7 +104,8 @@ def _band_keys(df: DataFrame, column: str, size: int, step: int, bands: int, row
 
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """(template, shingles, size): distinct shingle hashes and the window size of each template."""
-    table = spark.createDataFrame(sorted(templates.items()), "template string, text string")
+    listed = [F.struct(F.lit(k).alias("template"), F.lit(v).alias("text")) for k, v in sorted(templates.items())]
+    table = spark.range(1).select(F.inline(F.array(*listed)))
     table = table.withColumn("places", shingles(words(F.col("text"))))
     size = F.lit(WINDOWS[0][0])
     for window, _, _, _ in WINDOWS[1:]:

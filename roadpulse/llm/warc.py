@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadpulse.llm.batches import pieces
 from roadpulse.sources.storage import new_path, stage
@@ -186,8 +187,7 @@ def page_of(fields: dict[str, str], block: bytes, path: str, payloads: bool) ->
 
 def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """One row per response or revisit record of the archives in ``manifest``; an archive is read by one task."""
-    spark = manifest.sparkSession
-    schema = spark.createDataFrame([], _RECORDS).schema
+    schema = T.StructType.fromDDL(_RECORDS)
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
