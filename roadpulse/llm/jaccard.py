@@ -46,6 +46,8 @@ COMBINE_FROM = 4
 CLASS_TOKENS = 8
 #: Tokens of one block of a candidate group, and of one group of small candidate groups.
 BLOCK_TOKENS = 400_000
+#: Ids that may be broadcast, of 8 bytes each; a longer list meets the texts in a shuffled join.
+BROADCAST_IDS = 500_000
 
 
 def misses(n: int, percent: int = PERCENT) -> int:
@@ -254,7 +256,8 @@ def _classes(df: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     # A set with more tokens of its own than a similar set may lack has no similar set.
     nodes = stage(nodes.withColumn("open", F.col("n_sampled") - F.coalesce("shared", F.lit(0)) <= allowed).drop("shared", "n_sampled"), "nodes")
     open_ = nodes.where("open").select("name", "node", "n", "first_id")
-    texts = docs.join(open_.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    ids = stage(open_.select(F.col("first_id").alias("doc_id")).distinct(), "open-ids")
+    texts = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
     sets = _full_sets(texts, k).groupBy("name").agg(F.any_value("tokens").alias("tokens")).join(open_.select("name", "node", "n"), "name")
     sets = stage(sets.select("node", "n", "tokens"), "sets")
     keys = stage(_keys(sets, percent), "keys")

@@ -65,6 +65,7 @@ def test_same_classes_as_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_TOKENS", [400_000, 700][seed - 1])
     monkeypatch.setattr(jaccard, "PAIRS_ABOVE", [8, 3][seed - 1])
     monkeypatch.setattr(jaccard, "TRIPLES_ABOVE", [64, 6][seed - 1])
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", [500_000, 0][seed - 1])
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, "x", "y") for d, t in rows], "doc_id long, text string, name string, node string")
     assert sorted((tuple(r) for r in jaccard.classes(df).collect()), key=str) == brute(rows)
