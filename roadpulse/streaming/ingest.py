@@ -31,7 +31,8 @@ def saved_params(cleaned: DataFrame, first_rows: DataFrame, path: str) -> None:
 def clean_stream(raw: DataFrame, medians: DataFrame, late: str = "1 day") -> DataFrame:
     """Row-level cleaning and one row per hour.
 
-    The state holds one key per hour within the lateness allowed.  Copies that
+    The state holds one key per hour within the lateness allowed; rows that
+    come later still are left out and counted by :func:`late_rows`.  Copies that
     arrive together keep the one that is seen first; the batch job's total
     order needs the whole hour and is not available here.
     """
@@ -56,3 +57,11 @@ def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a finished query left out because they came later than the watermark allows.
+
+    The query's own progress reports count them, so nothing is lost without notice.
+    """
+    return sum(state["numRowsDroppedByWatermark"] for report in query.recentProgress for state in report["stateOperators"])
