@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Bytes of text worked on at once; one longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

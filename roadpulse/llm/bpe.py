@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from roadpulse.llm.batches import text_buffer, with_column
 
 #: Distinct pieces whose ids a Python worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 250_000
 #: Pieces beyond this many bytes merge with a heap: a matrix row costs the square of its length.
 MATRIX_BYTES = 1024
 #: Cells of one matrix.

@@ -92,7 +92,7 @@ def _shared_tokens(df: DataFrame, k: int, ranges: int) -> DataFrame:
     """(owner, n): sampled tokens of a set that another document, or an equal one, has too."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", 4 << 20):
+        for piece in pieces(batches, "text", 2 << 20):
             tokens, offsets = _sets(piece, k)
             names = _names(tokens, offsets)
             owner = np.repeat(np.arange(len(names)), np.diff(offsets))

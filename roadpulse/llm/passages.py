@@ -74,7 +74,7 @@ def _text_keys(piece: pa.RecordBatch, at: int) -> tuple[Words, list[bytes], byte
 
 def _repeated_anchors(texts: DataFrame, window: int, gram: int, ranges: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", 4 << 20):
+        for piece in pieces(batches, "text", 2 << 20):
             words, keys, _ = _text_keys(piece, 0)
             text, _, _, hashes = anchors(words, window, gram)
             yield repeats.pack(keys, text, hashes, ranges, report_several=True)
