@@ -6,11 +6,21 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 #: Bytes of text worked on at once; one longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
+#: Rows of an Arrow batch between Spark and Python; the default of ten thousand long texts would be held several times over.
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have the session send at most ``BATCH_ROWS`` rows at once, at every size; a smaller setting stays."""
+    now = int(spark.conf.get(_ROWS))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import bpe, hash_forest, jaccard, language, licenses, mixing, passages, quality, secrets, warc
+from roadpulse.llm.batches import bound_batches
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -19,6 +20,7 @@ SOURCE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     spark.sparkContext.environment.setdefault("PYTHONPATH", SOURCE_ROOT)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
