@@ -6,7 +6,9 @@ are counted over the words of all texts.  The forest is trained on labelled find
 ``LABELLED`` of each label, taken by hash.
 
 Findings depend on the text alone, so equal texts are scanned once.  Defined cases: null and empty
-texts have no findings; overlapping candidates do not occur, the leftmost match wins; a text that
+texts have no findings; overlapping candidates do not occur, the leftmost match wins; a named value
+runs to the next blank, quote or other mark that ends it; a private key is one finding from BEGIN to
+END, after a name too; a text that
 repeats a candidate has a finding for each place; a text's rows share its findings; if only one
 label was found among the training findings all findings get it; an empty table gives no rows.
 """
@@ -22,6 +24,13 @@ from pyspark.sql import functions as F
 
 from roadpulse.sources.storage import stage
 
+_BEGIN = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+#: A private key to its END line; without one, the base64 lines that follow.  Repeated groups are possessive, so long ones take no stack.
+_BLOCK = _BEGIN + (
+    r"(?:(?:[^-]|-(?!----))*+-----END [A-Z ]{0,20}PRIVATE KEY-----"
+    r"|(?:(?:\s*+(?:Proc-Type|DEK-Info): \S++)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{40,}+)++"
+    r"(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/=]++[ \t]*+(?=\r?\n|\z))?+)?+)"
+)
 #: Fixed shapes of issued keys.
 ISSUED = [
     r"AKIA[0-9A-Z]{16}",
@@ -30,12 +39,14 @@ ISSUED = [
     r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}",
     r"AIza[A-Za-z0-9_-]{35}",
     r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    _BLOCK,
 ]
 #: Words that come before a secret value.
 NAMES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credential"
-_ASSIGNED = rf"(?i:(?:{NAMES})[\"']?\s{{0,3}}(?:=|:|:=)\s{{0,3}})[\"']?[^\s\"'<>,;]{{6,200}}"
-_LONG = r"[A-Za-z0-9+/_=-]{20,}"
+_SIGN = rf"(?i:(?:{NAMES})[\"']?\s*+(?::=|=|:)\s*+)[\"']?"
+#: A value ends before an issued shape inside it, which is a candidate of its own.
+_ASSIGNED = rf"{_SIGN}(?:{_BLOCK}|[^\s\"'<>,;](?:(?!{'|'.join(ISSUED)})[^\s\"'<>,;]){{5,}}+)"
+_LONG = rf"(?=[A-Za-z0-9+/_=-]{{20}})(?:[A-Za-z0-9+/_=]|(?!{_BEGIN})-){{20,}}+"
 CANDIDATE = "(?:" + "|".join([*ISSUED, _ASSIGNED, _LONG]) + ")"
 #: Labelled findings used for training, of each label.
 LABELLED = 10_000
@@ -44,7 +55,7 @@ NEAR = 40
 THRESHOLD = 0.5
 REDACTED = "<secret>"
 FEATURES = ["length", "transition", "coverage", "digit_share", "upper_share", "symbol_share", "path_marks", "named", "word_beside"]
-_VALUE = rf"^(?i:(?:{NAMES})[\"']?\s{{0,3}}(?:=|:|:=)\s{{0,3}})[\"']?"
+_VALUE = rf"^{_SIGN}"
 #: Pieces of this many letters make the dictionary.
 PIECE = 4
 #: A piece is in the dictionary if this part of all pieces, or more, is it.
@@ -86,9 +97,8 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _grams(text: Column, k: int) -> Column:
-    """All substrings of ``k`` characters."""
-    none = F.array().cast("array<string>")
-    return F.when(F.length(text) < k, none).otherwise(F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.substring(text, i, F.lit(k))))
+    """All substrings of ``k`` characters, in one pass: substring() counts from the start each time."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))
 
 
 def statistics(words: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -111,14 +121,14 @@ def _share(pattern: str) -> Column:
 
 def with_features(found: DataFrame, transitions: DataFrame, pieces: DataFrame) -> DataFrame:
     """Findings with the feature columns."""
-    # A value's parts are looked up once for each different value.
-    values = stage(found.select("value").distinct(), "values")
-    pair = values.select("value", F.explode(_grams(F.concat(F.lit(" "), F.lower("value")), 2)).alias("pair"))
+    # A value's parts are looked up once for each different value; their rows carry its MD5, since values have no bound.
+    values = stage(found.select("value").distinct().withColumn("__v", F.md5("value")), "values")
+    pair = values.select("__v", F.explode(_grams(F.concat(F.lit(" "), F.lower("value")), 2)).alias("pair"))
     # A transition that no word has is as rare as anything.
-    usual = pair.join(transitions, "pair", "left").groupBy("value").agg(F.avg(F.coalesce("log_p", F.lit(-12.0))).alias("transition"))
-    piece = values.select("value", F.explode(_grams(F.lower("value"), PIECE)).alias("piece"))
-    covered = piece.join(pieces.withColumn("known", F.lit(1.0)), "piece", "left").groupBy("value").agg(F.avg(F.coalesce("known", F.lit(0.0))).alias("coverage"))
-    table = stage(values.join(usual, "value", "left").join(covered, "value", "left").na.fill({"transition": -12.0, "coverage": 0.0}), "value-features")
+    usual = pair.join(transitions, "pair", "left").groupBy("__v").agg(F.avg(F.coalesce("log_p", F.lit(-12.0))).alias("transition"))
+    piece = values.select("__v", F.explode(_grams(F.lower("value"), PIECE)).alias("piece"))
+    covered = piece.join(pieces.withColumn("known", F.lit(1.0)), "piece", "left").groupBy("__v").agg(F.avg(F.coalesce("known", F.lit(0.0))).alias("coverage"))
+    table = stage(values.join(usual, "__v", "left").join(covered, "__v", "left").drop("__v").na.fill({"transition": -12.0, "coverage": 0.0}), "value-features")
     named = (F.col("found") != F.col("value")) | F.col("before").rlike(rf"(?i)(?:{NAMES})\W{{0,12}}$")
     beside = F.regexp_count(F.concat_ws(" ", "before", "after"), F.lit(r"(?i)\b(?:key|login|user|bearer|config|env|export|private|credentials?)\b"))
     return found.join(table, "value").withColumns({
