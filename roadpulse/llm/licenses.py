@@ -2,7 +2,7 @@
 
 Texts and templates are words of letters and digits, lower case, in five-word shingles.  Templates
 are cut into windows at every place, texts into overlapping windows; window sizes are 1, 4 and 16
-shingles, and a template uses the largest that it fills.  Windows meet if a band of their MinHash
+shingles, and a template uses the largest that it fills at every offset to a text's steps.  Windows meet if a band of their MinHash
 values is equal.  A template's windows stand at every place, so a text that holds one more
 shingle run than a step holds an equal window, which meets in every band; windows of similarity s
 meet with probability 1 - (1 - s^r)^b.  Retrieved templates are verified: the part of a template's
@@ -108,8 +108,9 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     table = spark.range(1).select(F.inline(F.array(*listed)))
     table = table.withColumn("places", shingles(words(F.col("text"))))
     size = F.lit(WINDOWS[0][0])
-    for window, _, _, _ in WINDOWS[1:]:
-        size = F.when(F.size("places") >= window, window).otherwise(size)
+    for window, step, _, _ in WINDOWS[1:]:
+        # Only from here on does every copy hold a whole window at one of a text's steps.
+        size = F.when(F.size("places") >= window + step - 1, window).otherwise(size)
     checked = F.when(F.size("places") > 0, size).otherwise(F.raise_error(F.concat(F.lit("template too short: "), "template")))
     return table.withColumn("size", checked).withColumn("shingles", F.array_distinct("places"))
 

@@ -38,3 +38,14 @@ def test_own_templates(spark):
     assert [(r.doc_id, r.template, r.n_shared, r.containment) for r in got] == [(1, "a", 1, 1.0)]
     with pytest.raises(Exception, match="too short"):
         licenses.scan(df, {"a": "one two"}).collect()
+
+
+def test_exact_copies_at_every_offset(spark):
+    own = {f"t{n}": " ".join(f"w{n}x{i}" for i in range(n + licenses.SHINGLE - 1)) for n in (1, 4, 5, *range(16, 24))}
+    steps = {size: step for size, step, _, _ in licenses.WINDOWS}
+    for r in licenses.template_table(spark, own).collect():
+        assert len(r.shingles) >= r["size"] + steps[r["size"]] - 1, r.template
+    texts = [(k, f"{'a b c d e f g h i '[: 2 * at]}{v} j k l m n o p q r s t") for k, v in own.items() for at in range(9)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.template) for r in licenses.scan(df, own).collect()}
+    assert got == {(i, k) for i, (k, _) in enumerate(texts)}
