@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, centroids, hash_forest, jaccard, language, licenses, mixing, passages, quality, secrets, warc
+from roadpulse.llm import bpe, centroids, conversations, hash_forest, jaccard, language, licenses, mixing, passages, quality, secrets, warc
 from roadpulse.llm.batches import bound_batches
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -81,6 +81,11 @@ def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_forest.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations with the cheapest repair of each."""
+    return conversations.report(conversations.damage(_read(spark, sf_dir, "conversations")))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all vectors after ten rounds in whole numbers."""
     return centroids.report(_read(spark, sf_dir, "embeddings"))
@@ -90,10 +95,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_byte_bpe, op3_licenses, op4_quality_rules, op5_language, op6_warc, op7_secrets, op8_ngram_jaccard, op9_passages,
-        op10_hash_forest, op13_centroids,
+        op10_hash_forest, op11_conversations, op13_centroids,
     )
 }
 ORACLES: dict[str, str] = {
     "op1_mixing": mixing.SQL, "op3_licenses": licenses.sql(), "op4_quality_rules": quality.SQL, "op6_warc": warc.SQL,
-    "op13_centroids": centroids.sql(),
+    "op11_conversations": conversations.sql(), "op13_centroids": centroids.sql(),
 }
