@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, centroids, conversations, hash_forest, jaccard, language, licenses, mixing, passages, quality, secrets, warc
+from roadpulse.llm import bpe, centroids, conversations, hash_forest, jaccard, language, licenses, mixing, packing, passages, quality, secrets, warc
 from roadpulse.llm.batches import bound_batches
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+BPE_TOKENIZER = "byte_bpe_50k.json"
 
 
 #: Where Python workers find this package if the session was started elsewhere; a cluster gets it by --py-files.
@@ -86,6 +87,11 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damage(_read(spark, sf_dir, "conversations")))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 1,024 tokens."""
+    return packing.report(documents(spark, sf_dir), public_tokenizers.path(BPE_TOKENIZER))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all vectors after ten rounds in whole numbers."""
     return centroids.report(_read(spark, sf_dir, "embeddings"))
@@ -95,7 +101,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_byte_bpe, op3_licenses, op4_quality_rules, op5_language, op6_warc, op7_secrets, op8_ngram_jaccard, op9_passages,
-        op10_hash_forest, op11_conversations, op13_centroids,
+        op10_hash_forest, op11_conversations, op12_packing, op13_centroids,
     )
 }
 ORACLES: dict[str, str] = {
