@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadpulse.sources.storage import stage
+
 #: Rows whose backpointers travel as one block.
 BLOCK_ROWS = 1 << 18
 
@@ -372,7 +374,8 @@ def repair(df: DataFrame, found: DataFrame | None = None) -> DataFrame:
 
 def report(df: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """Counts, cost, audit and digest of the repaired rows of every conversation in ``df``."""
-    found = audits(pointers(df)) if found is None else found
+    # Written: the audits head the streams below and are joined to what comes out of them.
+    found = stage(audits(pointers(df)), "audits") if found is None else found
     digests = _stream(df, found).mapInPandas(_as_digests, "key string, repaired_sha256 string")
     both = found.join(digests.withColumnRenamed("key", "other"), F.col("key").eqNullSafe(F.col("other"))).drop("other")
     return _typed(both, df)
