@@ -123,6 +123,12 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, text: str = "te
     """doc_id, template, n_shared, containment: templates of which a text holds at least ``contained``."""
     table = stage(template_table(df.sparkSession, TEMPLATES if templates is None else templates), "templates")
     hits = df.select("doc_id", F.col(text).alias("text")).withColumn("__words", words(F.col("text"))).withColumn("__s", shingles(F.col("__words"))).drop("__words", "text")
+    # A text that shares no shingle with any template holds none: its windows need no bands.
+    listed = table.select(F.explode("shingles").alias("shingle")).distinct().limit(MAX_KEYS + 1).collect()  # bounded by the templates
+    if len(listed) > MAX_KEYS:
+        raise ValueError("templates have too many shingles")
+    none = F.array().cast("array<bigint>")
+    hits = hits.withColumn("__s", F.when(F.arrays_overlap("__s", _listed([r.shingle for r in listed])), F.col("__s")).otherwise(none))
     keys: dict[str, list[int]] = {}
     for size, step, bands, rows in WINDOWS:
         own = _band_keys(table.where(F.col("size") == size), "places", size, 1, bands, rows, "keys")
