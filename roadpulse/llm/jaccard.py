@@ -38,6 +38,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Of eight hash values, those below this one take part in counting a document's own tokens.
 SAMPLE_OF_8 = 3
+#: Bytes of text hashed at once.
+HASHED_BYTES = 1 << 18
 #: Tokens in more documents than this are keyed by pairs, beyond the second by triples.
 PAIRS_ABOVE, TRIPLES_ABOVE = 8, 64
 #: Sets from 2 to this power on use combinations; smaller ones key every token alone.
@@ -56,8 +58,15 @@ def misses(n: int, percent: int = PERCENT) -> int:
 
 
 def _sets(piece: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets = text_buffer(piece.column(piece.schema.get_field_index("text")))
-    return shingle_sets(Words(data, offsets), k)
+    """Sets of all texts of a piece; hashing keeps some forty bytes for each byte of text, so it goes by small parts."""
+    found, sizes = [], []
+    for part in pieces([piece], "text", HASHED_BYTES):
+        data, offsets = text_buffer(part.column(part.schema.get_field_index("text")))
+        tokens, ends = shingle_sets(Words(data, offsets), k)
+        found.append(tokens)
+        sizes.append(np.diff(ends))
+    offsets = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes]))
+    return np.concatenate([np.zeros(0, np.uint64), *found]), offsets
 
 
 def _names(tokens: np.ndarray, offsets: np.ndarray) -> list[bytes]:

@@ -93,6 +93,7 @@ def host_rates(judged: DataFrame, host: str = "source") -> DataFrame:
         .groupBy(F.col(host).alias("host"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
     )
+    hosts = stage(hosts, "hosts")
     a, b = beta_prior(hosts)
     return hosts.withColumn("host_rate", (F.col("failed") + a) / (F.col("n") + (a + b)))
 
@@ -104,8 +105,15 @@ def with_host_verdicts(judged: DataFrame, host: str = "source", max_host_rate: f
     partial sums, so a host with most documents costs no more; the join splits its rows at run time.
     """
     judged = stage(judged, "judged")
-    # Written, so that the join knows the size of this side before it deals out documents.
-    rates = stage(host_rates(judged, host).select(F.col("host").alias("__host"), F.col("host_rate").alias("__rate")), "host-rates")
+    return _join_rates(judged, _written_rates(judged, host), host, max_host_rate)
+
+
+def _written_rates(judged: DataFrame, host: str) -> DataFrame:
+    """Rates in a table, so that the join knows the size of this side before it deals out documents."""
+    return stage(host_rates(judged, host).select(F.col("host").alias("__host"), F.col("host_rate").alias("__rate")), "host-rates")
+
+
+def _join_rates(judged: DataFrame, rates: DataFrame, host: str, max_host_rate: float) -> DataFrame:
     joined = judged.join(rates, F.col(host) == F.col("__host"), "left")
     return (
         joined.withColumn("host_rate", F.col("__rate"))
@@ -115,8 +123,13 @@ def with_host_verdicts(judged: DataFrame, host: str = "source", max_host_rate: f
 
 
 def verdicts(df: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``df`` with the counts, ``base_failed``, ``host_rate`` and ``kept``."""
-    return with_host_verdicts(document_rules(df, text), host, max_host_rate)
+    """``df`` with the counts, ``base_failed``, ``host_rate`` and ``kept``.
+
+    Rules are computed once for the hosts and again for the rows: cheaper in memory and disk than to write
+    every text next to its counts, most of them only to be written again by the caller.
+    """
+    rates = _written_rates(document_rules(df.select(text, host), text).drop(text), host)
+    return _join_rates(document_rules(df, text), rates, host, max_host_rate)
 
 
 def report(df: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
