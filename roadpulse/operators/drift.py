@@ -90,8 +90,9 @@ def hashed_share(columns: Sequence[str], per_mille: int) -> Column:
 
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str] = (*S.KEY, S.TS), seed: int = 42) -> DataFrame:
-    """n rows chosen by hash order: the same rows whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(n)
+    """n rows chosen by the order of MD5 digests: the same rows whatever the partitioning or the engine."""
+    named = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in key]).cast("binary"))
+    return df.orderBy(named, *key).limit(n)
 
 
 def inject_severe_weather(df: DataFrame, chosen: Column, is_train: str = "is_train") -> DataFrame:

@@ -7,11 +7,13 @@ weights.  That table stays the same size however many hours were recorded.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
@@ -24,6 +26,10 @@ from roadpulse.sources.storage import stage
 LAG_COLUMNS = [f"lag_{k}" for k in range(1, S.LOOKBACK + 1)]
 # Rows of a range whose values are exchanged when a feature's importance is measured.
 EXCHANGE_ROWS = 10_000
+# Each partition adds up statistics of all open nodes of a forest, as many for few rows as for many.
+FOREST_PARTITION_ROWS = 50_000
+# Fits that a large forest is grown in.
+FOREST_PARTS = 8
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -64,13 +70,18 @@ def classification_cells(
     )
 
 
+def filled_partitions(rows: DataFrame, least: int = FOREST_PARTITION_ROWS) -> DataFrame:
+    """``rows`` in no more partitions than hold about ``least`` rows each; large tables keep theirs."""
+    return rows.coalesce(max(1, math.ceil(rows.count() / least)))
+
+
 # -- fits -------------------------------------------------------------------------
 def fit_logistic(train: DataFrame, features: Sequence[str] = tuple(S.FEATURES), max_iter: int = 1000) -> PipelineModel:
     """Balanced logistic regression with unit inverse penalty on the summed loss."""
     cells = stage(classification_cells(train, features), "logistic_cells")
     rows = cells.agg(F.sum("n").alias("n")).first()["n"]
     model = LogisticRegression(
-        weightCol="weight", maxIter=max_iter, standardization=False, regParam=1.0 / rows, elasticNetParam=0.0
+        weightCol="weight", maxIter=max_iter, tol=1e-10, standardization=False, regParam=1.0 / rows, elasticNetParam=0.0
     )
     return Pipeline(stages=[_assembler(features), model]).fit(cells)
 
@@ -89,9 +100,9 @@ def fit_forest_classifier(
     rows = stage(rows, "forest_rows")
     model = RandomForestClassifier(
         weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt",
-        maxMemoryInMB=1024,
+        maxMemoryInMB=512, cacheNodeIds=True,
     )
-    return Pipeline(stages=[_assembler(features), model]).fit(rows)
+    return Pipeline(stages=[_assembler(features), model]).fit(filled_partitions(rows))
 
 
 def fit_linear(train: DataFrame, features: Sequence[str] = tuple(S.FEATURES)) -> PipelineModel:
@@ -110,8 +121,8 @@ def fit_boosting(
     seed: int = 42,
 ) -> PipelineModel:
     cells = stage(regression_cells(train, features), "boosting_cells")
-    model = GBTRegressor(weightCol="weight", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
-    return Pipeline(stages=[_assembler(features), model]).fit(cells)
+    model = GBTRegressor(weightCol="weight", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, cacheNodeIds=True)
+    return Pipeline(stages=[_assembler(features), model]).fit(filled_partitions(cells))
 
 
 def fit_lag_forest(
@@ -121,15 +132,31 @@ def fit_lag_forest(
     trees: int = 200,
     depth: int = 10,
     seed: int = 42,
+    parts: int = FOREST_PARTS,
 ) -> PipelineModel:
     """Forest over the last 24 values and the context features.
 
-    Lag combinations hardly repeat, so this one trains on the rows.
+    Lag combinations hardly repeat, so this one trains on the rows.  Trees do not depend on one another: the
+    forest grows in ``parts`` fits that run side by side, so a pass adds up and ships statistics of its own part's nodes only.
+    Rows remember their node in every tree instead of walking down the forest again.
     """
-    model = RandomForestRegressor(
-        labelCol=target, numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="all", maxMemoryInMB=1024
-    )
-    return Pipeline(stages=[_assembler(features), model]).fit(train)
+    rows = stage(filled_partitions(train.select(*features, target)), "lag_rows")
+    vectors = _assembler(features).transform(filled_partitions(rows)).select("features", target)
+    shares = [trees // parts + (i < trees % parts) for i in range(parts)]
+
+    def fit(part: int) -> Transformer:
+        return RandomForestRegressor(
+            labelCol=target, predictionCol=f"_part{part}", numTrees=shares[part], maxDepth=depth, seed=seed + part,
+            featureSubsetStrategy="all", maxMemoryInMB=256, cacheNodeIds=True,
+        ).fit(vectors)
+
+    grown = [i for i in range(parts) if shares[i]]
+    with ThreadPoolExecutor(len(grown)) as pool:
+        forests = list(pool.map(fit, grown))
+    mean = " + ".join(f"{shares[i]} * _part{i}" for i in grown)
+    hidden = ", ".join(f"_part{i}" for i in grown)
+    whole = SQLTransformer(statement=f"SELECT * EXCEPT ({hidden}), ({mean}) / {trees} AS prediction FROM __THIS__")
+    return PipelineModel([_assembler(features), *forests, whole])
 
 
 # -- model files ---------------------------------------------------------------------
@@ -188,6 +215,30 @@ def linear_contributions(
     return spread.select(F.inline(F.array(*entries))).orderBy(F.desc("contribution"), "feature")
 
 
+def logistic_gradient(
+    model: PipelineModel, train: DataFrame, features: Sequence[str] = tuple(S.FEATURES), label: str = "high_risk"
+) -> DataFrame:
+    """Per feature: weighted sum of its values over positive rows, and what is left of the loss's gradient.
+
+    At the optimum the sum of weight x (probability - label) x value and the penalty cancel; ``relative`` is their
+    difference as a share of the sum of weight x absolute value.  The intercept is a feature that is always 1.
+    """
+    fitted = model.stages[-1]
+    cells = classification_cells(train, features, label)
+    p, w, y = F.col("_p"), F.col("weight"), F.col("label")
+    scored = predict_risk(model, cells, "_p")
+    slopes = [*zip(features, fitted.coefficients.toArray().tolist(), [F.col(f) for f in features]), ("intercept", 0.0, F.lit(1.0))]
+    rate = fitted.getRegParam()
+    sums = scored.agg(*[
+        F.struct(
+            F.lit(name).alias("feature"), F.sum(w * y * x).alias("positive_sum"),
+            (F.abs(F.sum(w * (p - y) * x) + rate * slope * F.sum(w)) / F.sum(w * F.abs(x))).alias("relative"),
+        ).alias(f"g{i}")
+        for i, (name, slope, x) in enumerate(slopes)
+    ])
+    return sums.select(F.inline(F.array(*[f"g{i}" for i in range(len(slopes))])))
+
+
 def permutation_importance(
     model: PipelineModel,
     df: DataFrame,
@@ -208,6 +259,8 @@ def permutation_importance(
     whole = mixed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     donor = F.struct(*features)
     paired = rows.withColumn("_range", F.pmod(place, F.lit(ranges))).withColumn("_donor", F.coalesce(F.lead(donor).over(mixed), F.first(donor).over(whole)))
+    # Ranges may be fewer than cores; the copies of rows are scored in as many tasks as there are cores, or more.
+    paired = paired.drop("_range").repartition(max(2 * df.sparkSession.sparkContext.defaultParallelism, ranges))
     paired = paired.withColumn("_shuffled", F.explode(F.array(F.lit(""), *[F.lit(f) for f in features])))
     variants = paired.withColumns({
         f: F.when(F.col("_shuffled") == f, F.col(f"_donor.{f}")).otherwise(F.col(f)) for f in features

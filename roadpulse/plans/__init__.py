@@ -7,5 +7,6 @@ from roadpulse.plans import (  # noqa: F401
     mining_queries,
     model_queries,
     stream_queries,
+    replay_queries,
 )
 from roadpulse.plans.registry import ORACLES, QUERIES  # noqa: F401

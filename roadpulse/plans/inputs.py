@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 
 from roadpulse import schema as S
 from roadpulse.functions import columns as C
-from roadpulse.operators import cleaning, features, series
-from roadpulse.operators.models import load_model, save_model
+from roadpulse.operators import cleaning, features, model_store, series
 from roadpulse.sources.standin import table, traffic_raw
-from roadpulse.sources.storage import new_path, stage
+from roadpulse.sources.storage import shared_dir, stage
 
 # Years present in the test tables; the last one is partial and left out.
 FIRST_YEAR, LAST_YEAR = 1995, 2000
 HOLIDAY_FIRST, HOLIDAY_LAST = 1998, 2000
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
-_saved: dict[tuple[str, str, str], str] = {}
+_loaded: dict[tuple[str, str, str], tuple[PipelineModel, dict]] = {}
+
+# Part of what a model is known by: raised when a fit or the tables before it change.
+RECIPE = 1
 
 
 def _written_once(
@@ -41,7 +43,7 @@ def _written_once(
 def forget_tables() -> None:
     """Let the next query write its input tables again (used when timing)."""
     _written.clear()
-    _saved.clear()
+    _loaded.clear()
 
 
 def raw(spark: SparkSession, sf_dir: str, **years: int) -> DataFrame:
@@ -112,14 +114,19 @@ def lag_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fitted(spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
-    """A model, fitted and saved by the first query that needs it and loaded by the others."""
+def model_registry(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/model-registry"
+
+
+def fitted(
+    spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], PipelineModel], params: dict[str, object] | None = None
+) -> tuple[PipelineModel, dict]:
+    """The newest published model for these tables and its entry; the first job that needs it fits and publishes it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _saved:
-        path = new_path(spark, name)
-        save_model(fit(), path)
-        _saved[key] = path
-    return load_model(_saved[key])
+    if key not in _loaded:
+        trained_on = model_store.fingerprint(spark, sf_dir, name, sorted((params or {}).items()), RECIPE)
+        _loaded[key] = model_store.fit_once(spark, model_registry(spark), name, trained_on, fit, params)
+    return _loaded[key]
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

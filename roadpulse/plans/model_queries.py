@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roadpulse import schema as S
 from roadpulse.functions import columns as C
-from roadpulse.operators import clustering, drift, metrics, models, profiles, runlog, scenarios, series
+from roadpulse.operators import clustering, drift, forest_nodes, metrics, model_store, models, profiles, runlog, scenarios, series
 from roadpulse.plans import inputs
 from roadpulse.plans.oracle import define, r, rounded, sql
 from roadpulse.plans.registry import query
@@ -253,7 +253,8 @@ def perturb_alert(spark, sf_dir):
     return drift.drift_summary(perturb_sample(spark, sf_dir))
 
 
-@query("sample_rows")
+@query("sample_rows", sql("test_rows", """
+    SELECT corridor, ts, traffic_volume FROM test_rows ORDER BY md5('42|' || corridor || '|' || CAST(ts AS VARCHAR)), corridor, ts LIMIT 1000"""))
 def sample_rows(spark, sf_dir):
     return drift.sample_rows(inputs.test_rows(spark, sf_dir).select("corridor", "ts", "traffic_volume"), 1000)
 
@@ -419,29 +420,57 @@ def regression_cells(spark, sf_dir):
     return models.regression_cells(inputs.train_rows(spark, sf_dir))
 
 
-def _fitted(spark, sf_dir, name, fit):
-    return inputs.fitted(spark, sf_dir, name, lambda: fit(inputs.train_rows(spark, sf_dir)))
+# Of every fit: class of the logged model, task, and the parameters it was made with.
+_FITS = {
+    "logistic": ("LogisticRegression", "classification_high_risk", {}),
+    "forest": ("RandomForestClassifier", "classification_high_risk", {"n_estimators": 200, "max_depth": 10}),
+    "linear": ("LinearRegression", "regression_traffic_volume", {}),
+    "boosting": ("GradientBoostingRegressor", "regression_traffic_volume", {"n_estimators": 200, "max_depth": 4}),
+    "lag_forest": ("LagForest", "forecast_traffic_volume", {"n_estimators": 200, "max_depth": 10, "lookback": S.LOOKBACK}),
+}
+
+
+def _entry(spark, sf_dir, name):
+    """A published model with its entry in the registry."""
+    fits = {
+        "logistic": models.fit_logistic, "forest": models.fit_forest_classifier, "linear": models.fit_linear,
+        "boosting": models.fit_boosting, "lag_forest": models.fit_lag_forest,
+    }
+    train = _lag_train if name == "lag_forest" else inputs.train_rows
+    return inputs.fitted(spark, sf_dir, name, lambda: fits[name](train(spark, sf_dir)), _FITS[name][2])
+
+
+def _lag_train(spark, sf_dir):
+    return inputs.lag_table(spark, sf_dir).filter("is_train")
+
+
+def _lag_test(spark, sf_dir):
+    return inputs.lag_table(spark, sf_dir).filter("NOT is_train")
 
 
 def _logistic(spark, sf_dir):
-    return _fitted(spark, sf_dir, "logistic", models.fit_logistic)
+    return _entry(spark, sf_dir, "logistic")[0]
 
 
 def _forest(spark, sf_dir):
-    return _fitted(spark, sf_dir, "forest", models.fit_forest_classifier)
+    return _entry(spark, sf_dir, "forest")[0]
 
 
 def _linear(spark, sf_dir):
-    return _fitted(spark, sf_dir, "linear", models.fit_linear)
+    return _entry(spark, sf_dir, "linear")[0]
 
 
 def _boosting(spark, sf_dir):
-    return _fitted(spark, sf_dir, "boosting", models.fit_boosting)
+    return _entry(spark, sf_dir, "boosting")[0]
 
 
 def _lag_forest(spark, sf_dir):
-    return inputs.fitted(spark, sf_dir, "lag_forest", lambda: models.fit_lag_forest(
-        inputs.lag_table(spark, sf_dir).filter("is_train")))
+    return _entry(spark, sf_dir, "lag_forest")[0]
+
+
+def _nodes(spark, sf_dir, name):
+    """The node table of a published tree ensemble."""
+    return forest_nodes.node_table(spark, _entry(spark, sf_dir, name)[1]["path"])
 
 
 def _risk_metrics(spark, sf_dir, model):
@@ -476,8 +505,7 @@ def reg_gbt(spark, sf_dir):
 
 @query("reg_lag_forest")
 def reg_lag_forest(spark, sf_dir):
-    test = inputs.lag_table(spark, sf_dir).filter("NOT is_train")
-    return metrics.regression_metrics(models.predict_volume(_lag_forest(spark, sf_dir), test), "traffic_volume")
+    return metrics.regression_metrics(models.predict_volume(_lag_forest(spark, sf_dir), _lag_test(spark, sf_dir)), "traffic_volume")
 
 
 @query("model_comparison")
@@ -492,57 +520,78 @@ def model_comparison(spark, sf_dir):
     return runlog.union_runs(*[table.withColumn("model", F.lit(name)) for name, table in rows])
 
 
-# Of every fit: run name, task, and the parameters it was made with.
-_FITS = {
-    "LogisticRegression": ("classification_high_risk", {}),
-    "RandomForestClassifier": ("classification_high_risk", {"n_estimators": 200, "max_depth": 10}),
-    "LinearRegression": ("regression_traffic_volume", {}),
-    "GradientBoostingRegressor": ("regression_traffic_volume", {"n_estimators": 200, "max_depth": 4}),
-    "LagForest": ("forecast_traffic_volume", {"n_estimators": 200, "max_depth": 10, "lookback": S.LOOKBACK}),
-}
+def _measured(spark, sf_dir, name):
+    """Metrics on the test rows of one published model."""
+    scored = {"logistic": clf_logistic, "forest": clf_forest, "linear": reg_linear, "boosting": reg_gbt, "lag_forest": reg_lag_forest}
+    return scored[name](spark, sf_dir)
+
+
+def _trained_log(spark, sf_dir):
+    """One logged run for each published model: a run is measured and logged once, by the first job that asks for it."""
+    entries = {name: _entry(spark, sf_dir, name)[1] for name in _FITS}
+    path = f"{inputs.model_registry(spark)}/runs"
+    logged = model_store.runs_logged(spark, path)
+    rows = []
+    for name, entry in entries.items():
+        if entry["run"] in logged:
+            continue
+        model, task, params = _FITS[name]
+        measured = _measured(spark, sf_dir, name)
+        names = [c for c in ("MAE", "R2", "accuracy", "precision", "recall", "f1", "roc_auc") if c in measured.columns]
+        facts = {"model": model, "task": task, "run": entry["run"], "version": entry["version"], **params}
+        rows.append(measured.select(
+            F.lit("trained_models").alias("experiment"), F.lit(f"{task}_{model}").alias("run_name"),
+            F.current_timestamp().cast("timestamp_ntz").alias("start_time"),
+            runlog.as_map({k: F.lit(v) for k, v in facts.items()}, "string").alias("params"),
+            runlog.as_map({n: F.col(n) for n in names}, "double").alias("metrics"),
+        ))
+    if rows:
+        runlog.append_runs(runlog.union_runs(*rows), path)
+    own = F.try_element_at("params", F.lit("run")).isin([e["run"] for e in entries.values()])
+    return runlog.read_log(spark, path).filter(own)
 
 
-def _fit_rows(spark, sf_dir):
-    """One run for each fitted model with its parameters and its metrics on the test rows."""
-    measured = model_comparison(spark, sf_dir).unionByName(
-        reg_lag_forest(spark, sf_dir).withColumn("model", F.lit("LagForest")), allowMissingColumns=True
-    )
-    names = ["MAE", "R2", "accuracy", "precision", "recall", "f1", "roc_auc"]
-    logged = runlog.as_map({n: F.col(n) for n in names}, "double").alias("metrics")
-    return runlog.union_runs(*[
-        measured.filter(F.col("model") == model).select(
-            F.lit("trained_models").alias("experiment"),
-            F.lit(f"{task}_{model}").alias("run_name"),
-            F.current_timestamp().cast("timestamp_ntz").alias("start_time"),
-            runlog.as_map({"model": F.lit(model), "task": F.lit(task), **{k: F.lit(v) for k, v in params.items()}}, "string").alias("params"),
-            logged,
-        )
-        for model, (task, params) in _FITS.items()
-    ])
+_TASKS = " UNION ALL ".join(
+    f"""SELECT '{model}' AS model, '{task}' AS task, {params.get('n_estimators', 'NULL')} AS n_estimators, {params.get('max_depth', 'NULL')} AS max_depth,
+      {params.get('lookback', 'NULL')} AS lookback, {str('classification' in task).upper()} AS has_auc, {str('classification' not in task).upper()} AS has_mae,
+      (SELECT count(*) FROM {'lag_split' if name == 'lag_forest' else 'split'} WHERE NOT is_train) AS test_rows"""
+    for name, (model, task, params) in _FITS.items()
+)
+define("lag_split", ["lagged"], """
+    SELECT *, row_number() OVER (PARTITION BY corridor ORDER BY ts) <= floor(0.8E0 * count(*) OVER (PARTITION BY corridor)) AS is_train FROM lagged""")
 
 
-@query("trained_runs", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{model}', '{task}', {params.get('n_estimators', 'NULL')}, {params.get('max_depth', 'NULL')}, {params.get('lookback', 'NULL')}, "
-    f"{str('regression' not in task and 'forecast' not in task).upper()}, {str('classification' not in task).upper()})"
-    for model, (task, params) in _FITS.items()
-) + ") v(model, task, n_estimators, max_depth, lookback, has_auc, has_mae)")
+@query("trained_runs", sql("split lag_split", _TASKS))
 def trained_runs(spark, sf_dir):
-    """What the fits logged, read back as comparisons read it."""
-    runs = runlog.run_comparison(_log_of(spark, sf_dir, "trained_runs", _fit_rows))
+    """What the published models logged, read back as comparisons read it, with the test rows they were measured on."""
+    runs = runlog.run_comparison(_trained_log(spark, sf_dir))
     whole = [F.col(c).cast("int").alias(c) for c in ("n_estimators", "max_depth", "lookback")]
-    return runs.select("model", "task", *whole, F.col("roc_auc").isNotNull().alias("has_auc"), F.col("MAE").isNotNull().alias("has_mae"))
+    shown = runs.select("model", "task", *whole, F.col("roc_auc").isNotNull().alias("has_auc"), F.col("MAE").isNotNull().alias("has_mae"))
+    rows = [
+        table(spark, sf_dir).agg(F.count(F.lit(1)).alias("test_rows")).withColumn("lagged", F.lit(lagged))
+        for table, lagged in ((inputs.test_rows, False), (_lag_test, True))
+    ]
+    counts = rows[0].unionAll(rows[1])
+    return shown.join(counts, F.col("lagged") == F.col("lookback").isNotNull()).drop("lagged")
 
 
-@query("model_ranking", "SELECT TRUE AS boosting_beats_linear, TRUE AS lag_forest_beats_linear, TRUE AS all_better_than_chance")
+@query("model_ranking", sql("predictions", f"""
+    SELECT {r('avg(abs(traffic_volume - pred))', 5)} AS profile_mae, TRUE AS boosting_beats_linear, TRUE AS boosting_beats_profile,
+      TRUE AS lag_forest_beats_linear, TRUE AS all_better_than_chance FROM predictions"""), digits=5)
 def model_ranking(spark, sf_dir):
-    """Order of the fitted models by their logged metrics."""
-    runs = runlog.run_comparison(_log_of(spark, sf_dir, "trained_runs", _fit_rows))
-    of = lambda model, metric: F.max(F.when(F.col("model") == model, F.col(metric)))
-    return runs.agg(
-        (of("GradientBoostingRegressor", "MAE") < of("LinearRegression", "MAE")).alias("boosting_beats_linear"),
-        (of("LagForest", "MAE") < of("LinearRegression", "MAE")).alias("lag_forest_beats_linear"),
+    """Order of the published models by their logged metrics, beside the error of a plain profile."""
+    runs = runlog.run_comparison(_trained_log(spark, sf_dir))
+    of = lambda model: F.max(F.when(F.col("model") == model, F.col("MAE")))
+    best = runs.agg(
+        of("GradientBoostingRegressor").alias("boosting"), of("LinearRegression").alias("linear"), of("LagForest").alias("lags"),
         (F.min("roc_auc") > 0.5).alias("all_better_than_chance"),
     )
+    profile = metrics.regression_metrics(_predictions(spark, sf_dir), "traffic_volume").select(F.col("MAE").alias("profile_mae"))
+    return best.crossJoin(F.broadcast(profile)).select(  # one row each
+        "profile_mae", (F.col("boosting") < F.col("linear")).alias("boosting_beats_linear"),
+        (F.col("boosting") < F.col("profile_mae")).alias("boosting_beats_profile"),
+        (F.col("lags") < F.col("linear")).alias("lag_forest_beats_linear"), "all_better_than_chance",
+    )
 
 
 @query("linear_normal_equations", sql("split_flagged", " UNION ALL ".join(
@@ -563,8 +612,7 @@ def linear_normal_equations(spark, sf_dir):
 @query("forecast_next")
 def forecast_next(spark, sf_dir):
     """Next value from the previous 24, with the absolute error, for every test row."""
-    test = inputs.lag_table(spark, sf_dir).filter("NOT is_train")
-    return models.predict_volume(_lag_forest(spark, sf_dir), test).select(
+    return models.predict_volume(_lag_forest(spark, sf_dir), _lag_test(spark, sf_dir)).select(
         "corridor", "ts", "traffic_volume", "pred", F.abs(F.col("traffic_volume") - F.col("pred")).alias("error")
     )
 
@@ -586,8 +634,7 @@ def mean_abs_contribution(spark, sf_dir):
 
 @query("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    test = inputs.lag_table(spark, sf_dir).filter("NOT is_train")
-    return models.permutation_importance(_lag_forest(spark, sf_dir), test, models.LAG_COLUMNS + S.FEATURES).limit(12)
+    return models.permutation_importance(_lag_forest(spark, sf_dir), _lag_test(spark, sf_dir), models.LAG_COLUMNS + S.FEATURES).limit(12)
 
 
 def _valid_requests(spark, sf_dir):

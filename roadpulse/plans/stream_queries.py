@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from roadpulse.functions import columns as C
 from roadpulse.plans import inputs
 from roadpulse.plans.model_queries import _boosting, _forest
-from roadpulse.plans.oracle import define, r, sql
+from roadpulse.plans.oracle import define, r, rounded, sql
 from roadpulse.plans.registry import query
 from roadpulse.sources.storage import new_path
-from roadpulse.streaming import ingest, monitoring, scoring
+from roadpulse.streaming import arrivals, ingest, monitoring, scoring
 
 _WATCHED = ["is_weekend", "is_severe_weather", "is_low_visibility", "has_precipitation", "weather_Clear", "hour"]
 
@@ -30,8 +31,8 @@ def stream_clean(spark, sf_dir):
     )
 
 
-@query("stream_score")
-def stream_score(spark, sf_dir):
+def scored_stream(spark, sf_dir):
+    """Answers to all valid requests, as the stream wrote them."""
     source, out = new_path(spark, "stream_requests"), new_path(spark, "stream_scored")
     inputs.scenario_requests(spark, sf_dir).drop("corridor").write.parquet(source)
     scoring.score_stream(
@@ -41,6 +42,11 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(f"{out}/scored").drop("batch")
 
 
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    return scored_stream(spark, sf_dir)
+
+
 _COUNTED = ", ".join(f'CAST("{f}" AS DOUBLE) AS "{f}"' for f in _WATCHED)
 _WATCHED_SQL = ", ".join(f'"{f}"' for f in _WATCHED)
 define("watched", ["split"], f"""
@@ -60,13 +66,52 @@ define("watched_days", ["watched"], """
       FROM watched_days d LEFT JOIN a USING (feature, value) LEFT JOIN b USING (day, feature, value)
       WINDOW w AS (PARTITION BY d.day, d.feature ORDER BY d.value))
     SELECT CAST(day AS VARCHAR) AS day, feature, {r('max(gap)')} AS ks_statistic, CASE WHEN max(gap) > 0.1 THEN 'ALERT' ELSE 'PASS' END AS status
-    FROM c WHERE day < (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) FROM split) GROUP BY 1, 2"""))
+    FROM c GROUP BY 1, 2"""))
 def stream_drift(spark, sf_dir):
-    """Every finished day against the training rows; the last days are still open."""
+    """Every day against the training rows; days still open when the input ends are closed by a batch pass."""
     source, out = new_path(spark, "stream_featured"), new_path(spark, "stream_drift")
     rows = inputs.model_table(spark, sf_dir).select("corridor", "ts", *_WATCHED)
     rows.write.parquet(source)
     training = monitoring.training_counts(inputs.model_table(spark, sf_dir), _WATCHED)
     stream = spark.readStream.schema(rows.schema).parquet(source)
     monitoring.monitor_stream(stream, training, _WATCHED, out, new_path(spark, "stream_state")).awaitTermination()
-    return spark.read.parquet(out).select("day", "feature", "ks_statistic", "status")
+    monitoring.close_days(rows, training, _WATCHED, out)
+    return monitoring.daily_results(spark, out).select("day", "feature", "ks_statistic", "status")
+
+
+#: Batches that arrive one after the other, each with days of all years, so that later ones come late.
+_ARRIVALS = 3
+_arrived: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _arrivals(spark, sf_dir):
+    """(arrivals, merged table): the stream is stopped and merged after the first batch and again at the end."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _arrived:
+        source, params, path, out, state = (new_path(spark, f"arrivals_{n}") for n in ("raw", "params", "rows", "merged", "state"))
+        ingest.saved_params(inputs.cleaned(spark, sf_dir), inputs.first_rows(spark, sf_dir), params)
+        medians = spark.read.parquet(f"{params}/medians")
+        turn = F.coalesce(F.pmod(F.dayofmonth(C.parse_time(F.col("date_time"))), F.lit(_ARRIVALS)), F.lit(0))
+        for number in range(_ARRIVALS):
+            inputs.raw(spark, sf_dir).filter(turn == number).coalesce(1).write.mode("append").parquet(source)
+            if number != 1:
+                arrivals.arrive(ingest.raw_stream(spark, source, files_per_batch=1), path, state).awaitTermination()
+                arrivals.merge(spark, path, out, medians)
+        _arrived[key] = (path, out)
+    return _arrived[key]
+
+
+@query("stream_merge", sql("cleaned", f"""
+    SELECT corridor, ts, {rounded('temp rain_1h')}, traffic_volume, weather_main, is_holiday FROM cleaned"""))
+def stream_merge(spark, sf_dir):
+    """Rows that came in three batches, most of them late, merged: the batch job's cleaned table."""
+    return spark.read.parquet(_arrivals(spark, sf_dir)[1]).select("corridor", "ts", "temp", "rain_1h", "traffic_volume", "weather_main", "is_holiday")
+
+
+@query("late_arrivals", sql("parsed", f"""
+    , turns AS (SELECT ts, day(ts) % {_ARRIVALS} AS batch FROM parsed),
+    seen AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM turns GROUP BY batch)
+    SELECT batch, count(*) AS n_rows, count(*) FILTER (ts < latest - INTERVAL 1 DAY) AS n_late FROM turns JOIN seen USING (batch) GROUP BY batch"""))
+def late_arrivals(spark, sf_dir):
+    """Rows and late rows of every batch."""
+    return arrivals.late_counts(spark, _arrivals(spark, sf_dir)[0])

@@ -10,6 +10,7 @@ from roadpulse import schema as S
 from roadpulse.functions import columns as C
 from roadpulse.operators import cleaning
 from roadpulse.operators.features import fit_feature_params
+from roadpulse.streaming.arrivals import repaired
 
 
 def raw_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -32,17 +33,14 @@ def clean_stream(raw: DataFrame, medians: DataFrame, late: str = "1 day") -> Dat
     """Row-level cleaning and one row per hour.
 
     The state holds one key per hour within the lateness allowed; rows that
-    come later still are left out and counted by :func:`late_rows`.  Copies that
+    come later still are left out here; :mod:`arrivals` keeps them and merges them in.  Copies that
     arrive together keep the one that is seen first; the batch job's total
-    order needs the whole hour and is not available here.
+    order needs the whole hour, which a merge has.
     """
     parsed = cleaning.parse_times(cleaning.standardise_text(raw))
     timed = parsed.withColumn("_event_time", C.event_time(F.col(S.TS))).withWatermark("_event_time", late)
     hourly = timed.dropDuplicatesWithinWatermark([*S.KEY, S.TS]).drop("_event_time")
-    temps = medians.select("month", "temp_median").filter("temp_median IS NOT NULL")
-    rains = medians.select("month", "rain_1h_median").filter("rain_1h_median IS NOT NULL")
-    fixed = cleaning.impute_monthly_median(hourly, "temp", cleaning.invalid_temp(), temps)
-    return cleaning.impute_monthly_median(fixed, "rain_1h", cleaning.invalid_rain(), rains)
+    return repaired(hourly, medians)
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -60,8 +58,9 @@ def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that a finished query left out because they came later than the watermark allows.
+    """Rows that the last batches of a query left out because they came later than the watermark allows.
 
-    The query's own progress reports count them, so nothing is lost without notice.
+    From the query's progress reports, of which Spark keeps the last hundred of one run; the whole count is
+    :func:`roadpulse.streaming.arrivals.late_counts`.
     """
     return sum(state["numRowsDroppedByWatermark"] for report in query.recentProgress for state in report["stateOperators"])

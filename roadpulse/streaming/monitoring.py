@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +13,10 @@ from roadpulse.functions import columns as C
 from roadpulse.operators import drift
 
 
+#: Batch number of days that were closed because the input ended.
+CLOSED = -1
+
+
 def training_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """``(feature, value, n_train)`` of the training rows, to be stored with the model."""
     return drift.feature_counts(df, features).filter("n_train > 0").select("feature", "value", "n_train")
@@ -66,3 +70,27 @@ def monitor_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def close_days(rows: DataFrame, training: DataFrame, features: Sequence[str], path: str, ts: str = S.TS) -> None:
+    """Judge the days that the stream has not written, from a batch of the same rows, when the input has ended.
+
+    Written under a batch number of its own, so closing again replaces the first attempt; days that the stream has
+    finished are never judged twice.
+    """
+    finished = rows.sparkSession.read.parquet(path).filter(F.col("batch") != CLOSED).select("day").distinct()
+    entries = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
+    left = rows.withColumn("day", F.to_date(ts)).join(finished, "day", "left_anti")
+    counts = (
+        left.select("day", F.inline(F.array(*entries))).filter("value IS NOT NULL")
+        .groupBy("day", "feature", "value").agg(F.count(F.lit(1)).alias("n_test"))
+    )
+    daily_drift(counts, training).write.mode("overwrite").parquet(f"{path}/batch={CLOSED}")
+
+
+def daily_results(spark: SparkSession, path: str) -> DataFrame:
+    """One row per day and feature: what the stream wrote, and closed days that it has not finished since."""
+    rows = spark.read.parquet(path)
+    streamed = rows.filter(F.col("batch") != CLOSED)
+    closed = rows.filter(F.col("batch") == CLOSED).join(streamed.select("day", "feature").distinct(), ["day", "feature"], "left_anti")
+    return streamed.unionByName(closed).drop("batch")
