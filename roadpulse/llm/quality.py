@@ -129,7 +129,9 @@ def verdicts(df: DataFrame, text: str = "text", host: str = "source", max_host_r
     every text next to its counts, most of them only to be written again by the caller.
     """
     rates = _written_rates(document_rules(df.select(text, host), text).drop(text), host)
-    return _join_rates(document_rules(df, text), rates, host, max_host_rate)
+    judged = _join_rates(document_rules(df, text), rates, host, max_host_rate)
+    # Through a one-element array: a filter on ``kept`` would otherwise be rewritten to compute every rule again, step inside step.
+    return judged.withColumn("kept", F.explode(F.array("kept")))
 
 
 def report(df: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
