@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadpulse import schema as S
 from roadpulse.functions import columns as C
-from roadpulse.functions.significance import pearson_two_sided
+from roadpulse.functions.significance import pearson_p_value
 from roadpulse.operators.ranks import quantiles, value_counts
 
 
@@ -98,14 +98,19 @@ def correlation_notes(corr: DataFrame) -> DataFrame:
 
 
 def correlation_test(corr: DataFrame) -> DataFrame:
-    """Add the two-sided p-value to a one-row correlation result.
+    """Add the two-sided p-value to rows of r and n."""
+    return corr.withColumn("p_value", pearson_p_value(F.col("r"), F.col("n")))
 
-    The row is a finished aggregate, so fetching it is one small job.
-    """
-    row = corr.first()
-    p_value = pearson_two_sided(row["r"], row["n"])
-    result = corr.sparkSession.createDataFrame([row], corr.schema)
-    return result.withColumn("p_value", F.lit(p_value))
+
+def correlation_tests(df: DataFrame, features: Sequence[str], y: str = S.VOLUME, by: Sequence[str] = ()) -> DataFrame:
+    """Per group and feature: Pearson r with ``y``, rows where both are known, and the p-value, in one pass over the rows."""
+    def of(feature: str) -> Column:
+        both = F.col(feature).isNotNull() & F.col(y).isNotNull()
+        x = F.when(both, F.col(feature).cast("double"))
+        return F.struct(F.lit(feature).alias("feature"), F.corr(x, F.col(y).cast("double")).alias("r"), F.count_if(both).alias("n"))
+
+    sums = df.groupBy(*by).agg(*[of(f).alias(f"_{i}") for i, f in enumerate(features)])
+    return correlation_test(sums.select(*by, F.inline(F.array(*[f"_{i}" for i in range(len(features))]))))
 
 
 def linear_trend(df: DataFrame, x: str = "temp", y: str = S.VOLUME) -> DataFrame:

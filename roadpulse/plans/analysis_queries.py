@@ -189,12 +189,46 @@ def temp_volume_corr(spark, sf_dir):
     return stats.correlation(inputs.hourly(spark, sf_dir))
 
 
-@query("temp_volume_corr_test", digits=None)
+def _p_values(groups: str, by: str) -> str:
+    """SQL after a table of (by, r, n): the incomplete beta function by its continued fraction, one row a term."""
+    return f"""
+    , sized AS (SELECT *, (n - 2) / 2E0 AS a, 0.5E0 AS b, 1 - r * r AS x, 1 - r * r >= ((n - 2) / 2E0 + 1) / ((n - 2) / 2E0 + 2.5) AS swap FROM {groups}),
+    turned AS (SELECT *, CASE WHEN swap THEN b ELSE a END AS p, CASE WHEN swap THEN a ELSE b END AS q, CASE WHEN swap THEN 1 - x ELSE x END AS z FROM sized),
+    walk AS (
+      SELECT {by}, p, q, z, 0 AS k, CAST(1 AS DOUBLE) AS c, 1 / (1 - (p + q) * z / (p + 1)) AS d, 1 / (1 - (p + q) * z / (p + 1)) AS v FROM turned
+      UNION ALL
+      SELECT {by}, p, q, z, k + 1, 1 + t / c, 1 / (1 + t * d), v * (1 + t / c) / (1 + t * d) FROM (
+        SELECT *, CASE WHEN k % 2 = 0 THEN m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m))
+          ELSE -(p + m) * (p + q + m) * z / ((p + 2 * m) * (p + 2 * m + 1)) END AS t
+        FROM (SELECT *, CAST(k // 2 + 1 AS DOUBLE) AS m FROM walk WHERE k < 2000))),
+    tested AS (
+      SELECT g.*, CASE WHEN swap THEN 1 - f ELSE f END AS p_value FROM (
+        SELECT t.*, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(x) + b * ln(1 - x)) * v / t.p AS f
+        FROM turned t JOIN walk USING ({by}) WHERE k = 2000) g)"""
+
+
+@query("temp_volume_corr_test", sql("traffic_hourly", f"""
+    , whole AS (SELECT 1 AS one, corr(temp, traffic_volume) FILTER (temp > 0) AS r, count(*) FILTER (temp > 0) AS n, count(*) FILTER (NOT temp > 0) AS n_excluded FROM traffic_hourly)
+    {_p_values('whole', 'one')}
+    SELECT {r('r')} AS r, n, n_excluded, {r('r * r')} AS r_squared, {r('p_value')} AS p_value FROM tested""").replace("WITH ", "WITH RECURSIVE ", 1))
 def temp_volume_corr_test(spark, sf_dir):
-    """With the p-value, which SQL has no function for."""
+    """With the p-value."""
     return stats.correlation_test(stats.correlation(inputs.hourly(spark, sf_dir)))
 
 
+_TESTED = ["temp", "clouds_all", "rain_1h", "snow_1h"]
+
+
+@query("correlation_tests", sql("cleaned", f"""
+    , pairs AS ({' UNION ALL '.join(f"SELECT corridor, '{f}' AS feature, {f} AS x, traffic_volume AS y FROM cleaned" for f in _TESTED)}),
+    grouped AS (SELECT corridor, feature, corr(x, y) AS r, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS n FROM pairs GROUP BY 1, 2)
+    {_p_values('grouped', 'corridor, feature')}
+    SELECT corridor, feature, {r('r')} AS r, n, {r('p_value')} AS p_value FROM tested""").replace("WITH ", "WITH RECURSIVE ", 1))
+def correlation_tests(spark, sf_dir):
+    """Per corridor and reading: correlation with the volume and its p-value."""
+    return stats.correlation_tests(inputs.cleaned(spark, sf_dir), _TESTED, by=["corridor"])
+
+
 @query("corr_strength_band", sql("traffic_hourly", f"""
     , by_corridor AS (SELECT corridor, corr(temp, traffic_volume) AS c, count(*) AS n FROM traffic_hourly WHERE temp > 0 GROUP BY 1)
     SELECT corridor, {r('c')} AS r, CASE WHEN abs(c) < 0.1 THEN 'negligible' WHEN abs(c) < 0.3 THEN 'weak' WHEN abs(c) < 0.5 THEN 'moderate'

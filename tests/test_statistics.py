@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse import schema as S
 from roadpulse.functions import columns as C
-from roadpulse.functions.significance import kolmogorov_p_value, pearson_two_sided, regularised_beta
+from roadpulse.functions.significance import kolmogorov_p_value, log_gamma, pearson_p_value, regularised_beta
 from roadpulse.operators import drift, metrics, mining, probability, profiles, ranks, runlog, scenarios, stats, trends
 
 
@@ -64,14 +64,39 @@ def test_histogram_keeps_the_maximum_and_empty_bins(spark):
     assert rows[0]["bin_start"] == 0.0 and rows[-1]["bin_end"] == 40.0
 
 
-def test_pearson_p_value():
+def test_pearson_p_value(spark):
+    def p(r, n):
+        df = spark.createDataFrame([(r, n)], "r double, n bigint")
+        return df.select(pearson_p_value(F.col("r"), F.col("n"))).first()[0]
+
     # Published result of the analysis; r is known to four digits only.
-    assert 0.6 < pearson_two_sided(0.1392, 40565) / 1.54e-174 < 1.7
-    assert pearson_two_sided(0.5, 4) == pytest.approx(0.5)  # exact for two degrees of freedom
-    assert pearson_two_sided(0.0, 30) == pytest.approx(1.0)
-    assert pearson_two_sided(1.0, 30) == 0.0
-    assert math.isnan(pearson_two_sided(0.5, 2))
-    assert regularised_beta(2.0, 3.0, 0.4) == pytest.approx(0.5248)
+    assert 0.6 < p(0.1392, 40565) / 1.54e-174 < 1.7
+    assert p(0.5, 4) == pytest.approx(0.5)  # exact for two degrees of freedom
+    assert p(-0.5, 3) == pytest.approx(2 / 3)  # and for one: 1 - 2 asin(1/2) / pi
+    assert p(0.0, 30) == pytest.approx(1.0)
+    assert p(1.0, 30) == 0.0
+    assert p(0.5, 2) is None and p(None, 30) is None and p(float("nan"), 30) is None
+    # Large samples: the normal distribution.
+    for n in (10**6, 10**9):
+        assert p(1.96 / math.sqrt(n), n) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), rel=1e-4)
+
+
+def test_beta_and_gamma_functions(spark):
+    cases = [(0.5, 0.5), (2.0, 3.0), (30.0, 0.5), (1.0, 40.0), (7.5, 2.25)]
+    rows = [(a, b, x / 10) for a, b in cases for x in range(11)]
+    df = spark.createDataFrame(rows, "a double, b double, x double").withColumn("i", regularised_beta(F.col("a"), F.col("b"), F.col("x")))
+    found = {(r.a, r.b, r.x): r.i for r in df.collect()}
+    assert found[2.0, 3.0, 0.4] == pytest.approx(0.5248)
+    for (a, b, x), value in found.items():
+        # Midpoint sum after x = sin(t)^2, which takes the poles at both ends away.
+        top, n = math.asin(math.sqrt(x)), 4000
+        steps = [(i + 0.5) * top / n for i in range(n)]
+        area = sum(2 * math.sin(t) ** (2 * a - 1) * math.cos(t) ** (2 * b - 1) for t in steps) * top / n if top else 0.0
+        whole = math.exp(math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b))
+        assert value == pytest.approx(area / whole, abs=1e-5)
+    df = spark.createDataFrame([(x,) for x in (0.5, 1.0, 1.5, 10.0, 25_000.0)], "x double")
+    for r in df.select("x", log_gamma(F.col("x")).alias("g")).collect():
+        assert r.g == pytest.approx(math.lgamma(r.x), abs=1e-10, rel=1e-12)
 
 
 def test_kolmogorov_p_value(spark):
