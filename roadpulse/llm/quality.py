@@ -1,11 +1,14 @@
 """Quality rules with verdicts on hosts.
 
-Rules judge each document alone.  Failures are then counted by host, a host's failure rate is
-shrunk towards a beta prior fitted to all hosts, and documents of hosts whose shrunk rate is
-above a limit go as well.
-
-Defined cases: a null text has no words, so the word rule rejects it; a null host has no verdict and
-its documents stand on their own; repeated rows count as often as they occur and each gets a row;
+Rules judge each document alone: too short or too repetitive (``base_failed``), many symbols, many repeated
+lines.  Failures are counted by rule and host, and a host's rate for a rule is shrunk towards a beta prior that
+is fitted to the rule's rates over all hosts.  Joined back, the verdicts on hosts decide twice:
+all documents of a host go whose shrunk rate of the base rule is above a limit; and a document
+that fails a soft rule, symbols or lines, goes unless its host's shrunk rate says that such failures are rare there.
+
+Defined cases: a null text has no words, so the word rule rejects it; a null host has no verdict, so only the base rule
+rejects its documents; repeated rows count as often as they occur and each gets a row; texts of any length are one row's
+arrays; ties cannot occur, a rate equal to a limit keeps; columns of the input with the names of the added ones are replaced;
 an empty table gives no rows.
 """
 
@@ -21,6 +24,13 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Hosts whose shrunk failure rate is above this go as a whole.
 MAX_HOST_RATE = 0.5
+#: Soft rules: more symbols, or more repeated lines, than this share of the words.
+MAX_SYMBOLS, MAX_REPEATED_LINES = 0.1, 0.05
+#: A soft failure is excused where the host's shrunk rate is at most this share of the rate over all hosts.
+EXCUSED = 0.5
+#: Correlation inside hosts when their rates differ by no more than chance.
+NO_SPREAD = 1e-6
+RULES = ("base", "symbols", "lines")
 SYMBOLS = "[#*$%&|<>]"
 _GAP = "[ \\t-\\r]+"
 _BLANK = " \t\n\x0b\x0c\r"
@@ -73,71 +83,99 @@ def document_rules(df: DataFrame, text: str = "text") -> DataFrame:
     return judged.withColumn("base_failed", failed)
 
 
-def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """The beta distribution with the mean and variance of the hosts' rates; (1, 1) without spread.
+def _fails(rule: str) -> Column:
+    """Whether a document with its counts fails a rule."""
+    return {
+        "base": F.col("base_failed"),
+        "symbols": F.col("n_symbols") > MAX_SYMBOLS * F.col("n_words"),
+        "lines": F.col("n_dup_lines") > MAX_REPEATED_LINES * F.col("n_words"),
+    }[rule]
+
+
+def beta_prior(hosts: int, n: float, squares: float, failed: float, spread: float) -> tuple[float, float]:
+    """The beta distribution of hosts' rates by weighted moments; (1, 1) where they say nothing.
 
-    One row of moments comes to the driver.
+    ``n`` documents, ``squares`` the sum of squares of the hosts' counts, ``spread`` the sum of failed^2 / count.  Hosts weigh
+    by their documents, and the part of the variance that sampling alone explains is taken away.
     """
-    rate = F.col("failed") / F.col("n")
-    k, m, v = hosts.agg(F.count(F.lit(1)), F.avg(rate), F.var_samp(rate)).first()
-    if k < 2 or v < 1e-12 or v >= m * (1 - m):
+    if hosts < 2 or not 0 < failed < n:
         return 1.0, 1.0
-    strength = m * (1 - m) / v - 1
-    return m * strength, (1 - m) * strength
+    mean, noise = failed / n, (hosts - 1) / n
+    between = 1 - squares / n**2 - noise
+    if between <= 0:
+        return 1.0, 1.0
+    chance = mean * (1 - mean)
+    within = min(max((spread / n - mean**2 - chance * noise) / (chance * between), NO_SPREAD), 1 - NO_SPREAD)
+    strength = 1 / within - 1
+    return mean * strength, (1 - mean) * strength
 
 
 def host_rates(judged: DataFrame, host: str = "source") -> DataFrame:
-    """host, n, failed, and the failure rate shrunk by the beta prior fitted to all hosts."""
-    hosts = (
-        judged.where(F.col(host).isNotNull())
-        .groupBy(F.col(host).alias("host"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
-    )
-    hosts = stage(hosts, "hosts")
-    a, b = beta_prior(hosts)
-    return hosts.withColumn("host_rate", (F.col("failed") + a) / (F.col("n") + (a + b)))
-
+    """host, n, and for each rule the failures, the shrunk rate and ``<rule>_bad``, the verdict on the host.
 
-def with_host_verdicts(judged: DataFrame, host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """Judged documents with ``host_rate`` (null without a host) and ``kept``.
+    One row of sums comes to the driver.
+    """
+    counts = [F.sum(_fails(rule).cast("long")).alias(f"{rule}_failed") for rule in RULES]
+    hosts = judged.where(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n"), *counts)
+    hosts = stage(hosts, "hosts")
+    n = F.col("n").cast("double")
+    sums = [F.count(F.lit(1)), F.sum(n), F.sum(n * n)]
+    for rule in RULES:
+        failed = F.col(f"{rule}_failed").cast("double")
+        sums += [F.sum(failed), F.sum(failed * failed / n)]
+    k, documents, squares, *moments = hosts.agg(*sums).first()
+    out = hosts
+    for i, rule in enumerate(RULES):
+        failed, spread = moments[2 * i : 2 * i + 2]
+        a, b = beta_prior(k, documents, squares, failed, spread) if k else (1.0, 1.0)
+        rate = (F.col(f"{rule}_failed") + a) / (n + (a + b))
+        limit = MAX_HOST_RATE if rule == "base" else EXCUSED * failed / documents if k else 1.0
+        out = out.withColumn(f"{rule}_rate", rate).withColumn(f"{rule}_bad", rate > limit)
+    return out
+
+
+def with_host_verdicts(judged: DataFrame, host: str = "source") -> DataFrame:
+    """Judged documents with ``host_rate`` (of the base rule; null without a host) and ``kept``.
 
     ``judged`` is written once and read for the counts and for the join.  Hosts are counted from
     partial sums, so a host with most documents costs no more; the join splits its rows at run time.
     """
     judged = stage(judged, "judged")
-    return _join_rates(judged, _written_rates(judged, host), host, max_host_rate)
+    return _join_rates(judged, _written_rates(judged, host), host)
 
 
 def _written_rates(judged: DataFrame, host: str) -> DataFrame:
     """Rates in a table, so that the join knows the size of this side before it deals out documents."""
-    return stage(host_rates(judged, host).select(F.col("host").alias("__host"), F.col("host_rate").alias("__rate")), "host-rates")
+    rates = host_rates(judged, host)
+    bad = F.struct(*[F.col(f"{rule}_bad").alias(rule) for rule in RULES])
+    return stage(rates.select(F.col("host").alias("__host"), F.col("base_rate").alias("__rate"), bad.alias("__bad")), "host-rates")
 
 
-def _join_rates(judged: DataFrame, rates: DataFrame, host: str, max_host_rate: float) -> DataFrame:
+def _join_rates(judged: DataFrame, rates: DataFrame, host: str) -> DataFrame:
     joined = judged.join(rates, F.col(host) == F.col("__host"), "left")
-    return (
-        joined.withColumn("host_rate", F.col("__rate"))
-        .withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("__rate"), F.lit(0.0)) <= max_host_rate))
-        .drop("__host", "__rate")
-    )
+    verdict = lambda rule: F.coalesce(F.col("__bad")[rule], F.lit(False))
+    kept = ~F.col("base_failed") & ~verdict("base")
+    for rule in RULES[1:]:
+        kept = kept & ~(_fails(rule) & verdict(rule))
+    return joined.withColumn("host_rate", F.col("__rate")).withColumn("kept", kept).drop("__host", "__rate", "__bad")
 
 
-def verdicts(df: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+def verdicts(df: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """``df`` with the counts, ``base_failed``, ``host_rate`` and ``kept``.
 
     Rules are computed once for the hosts and again for the rows: cheaper in memory and disk than to write
     every text next to its counts, most of them only to be written again by the caller.
     """
     rates = _written_rates(document_rules(df.select(text, host), text).drop(text), host)
-    judged = _join_rates(document_rules(df, text), rates, host, max_host_rate)
+    judged = _join_rates(document_rules(df, text), rates, host)
     # Through a one-element array: a filter on ``kept`` would otherwise be rewritten to compute every rule again, step inside step.
     return judged.withColumn("kept", F.explode(F.array("kept")))
 
 
-def report(df: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+def report(df: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """doc_id with counts and verdicts, without the texts."""
     judged = document_rules(df.select("doc_id", text, host), text).drop(text)
-    return with_host_verdicts(judged, host, max_host_rate).select(
+    return with_host_verdicts(judged, host).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
@@ -166,18 +204,31 @@ WITH cut AS (
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
          len(w) < {MIN_WORDS} OR 100 * coalesce(n, 0) > {MAX_REPEAT_PERCENT} * len(w) AS base_failed
   FROM lines LEFT JOIN covered USING (r)
+), fails AS (
+  SELECT *, n_symbols > {MAX_SYMBOLS}E0 * n_words AS symbols_failed, n_dup_lines > {MAX_REPEATED_LINES}E0 * n_words AS lines_failed FROM judged
 ), hosts AS (
-  SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS failed FROM judged WHERE source IS NOT NULL GROUP BY source
+  SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (base_failed) AS DOUBLE) AS base,
+         CAST(count(*) FILTER (symbols_failed) AS DOUBLE) AS symbols, CAST(count(*) FILTER (lines_failed) AS DOUBLE) AS lines
+  FROM fails WHERE source IS NOT NULL GROUP BY source
+), long AS (
+  SELECT source, n, rule, failed FROM hosts UNPIVOT (failed FOR rule IN (base, symbols, lines))
+), sums AS (
+  SELECT rule, count(*) AS k, sum(n) AS docs, sum(n * n) AS squares, sum(failed) AS failed, sum(failed * failed / n) AS spread FROM long GROUP BY rule
 ), moments AS (
-  SELECT count(*) AS k, avg(failed / n) AS m, var_samp(failed / n) AS v FROM hosts
+  SELECT *, failed / docs AS m, (k - 1) / docs AS noise, 1 - squares / (docs * docs) - (k - 1) / docs AS between_ FROM sums
 ), prior AS (
-  SELECT CASE WHEN k < 2 OR v < 1e-12 OR v >= m * (1 - m) THEN 1.0 ELSE m * (m * (1 - m) / v - 1) END AS a,
-         CASE WHEN k < 2 OR v < 1e-12 OR v >= m * (1 - m) THEN 1.0 ELSE (1 - m) * (m * (1 - m) / v - 1) END AS b
+  SELECT rule, failed / docs AS overall, k < 2 OR failed <= 0 OR failed >= docs OR between_ <= 0 AS nothing, m,
+         1 / least(greatest((spread / docs - m * m - m * (1 - m) * noise) / nullif(m * (1 - m) * between_, 0), {NO_SPREAD}), 1 - {NO_SPREAD}) - 1 AS strength
   FROM moments
 ), rates AS (
-  SELECT source, (failed + (SELECT a FROM prior)) / (n + (SELECT a + b FROM prior)) AS rate FROM hosts
+  SELECT source, rule, (failed + CASE WHEN nothing THEN 1 ELSE m * strength END) / (n + CASE WHEN nothing THEN 2 ELSE strength END) AS rate, overall
+  FROM long JOIN prior USING (rule)
+), bad AS (
+  SELECT source, bool_or(rule = 'base' AND rate > {MAX_HOST_RATE}) AS base, bool_or(rule = 'symbols' AND rate > {EXCUSED} * overall) AS symbols,
+         bool_or(rule = 'lines' AND rate > {EXCUSED} * overall) AS lines
+  FROM rates GROUP BY source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(rate, 0) <= {MAX_HOST_RATE} AS kept
-FROM judged LEFT JOIN rates USING (source)
+       NOT (base_failed OR coalesce(base, false) OR (symbols_failed AND coalesce(symbols, false)) OR (lines_failed AND coalesce(lines, false))) AS kept
+FROM fails LEFT JOIN bad USING (source)
 """

@@ -12,7 +12,7 @@ import public_tokenizers
 import tiktoken
 from test_jaccard import brute
 from test_mixing import draw, inverse
-from test_quality import plain
+from test_quality import keepers
 
 from roadpulse.llm import mixing
 
@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_same_as_a_plain_version(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
-    kept = [r for r in docs if not plain(r.text)[5]]
+    kept = [docs[i] for i in keepers([(r.text, r.source) for r in docs])]
     first = {c for _, _, c in brute([(r.doc_id, r.text) for r in kept])}
     kept = [r for r in kept if r.doc_id in first]
     secret = re.compile(r"AKIA[0-9A-Z]{16}|(?<=password=)[0-9a-f]{18}|(?<=token = \")[0-9a-f]{40}")
