@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from roadpulse import schema as S
@@ -12,7 +14,7 @@ from roadpulse.plans import inputs
 from roadpulse.plans.oracle import r, rounded, sql
 from roadpulse.plans.registry import query
 from roadpulse.sources import files
-from roadpulse.sources.storage import new_path
+from roadpulse.sources.storage import new_path, stage
 
 _RAW_COLS = ", ".join(S.RAW_COLUMNS)
 
@@ -68,6 +70,65 @@ def cleaning_job(spark, sf_dir):
     return tables[0].join(tables[1], "year", "full")
 
 
+def _planted(spark, sf_dir):
+    """Path of a raw CSV in which some lines are broken, by their cloud cover: a cell too many, no number, undecodable bytes."""
+    path, clouds = new_path(spark, "raw_planted"), F.col("clouds_all")
+    text = inputs.raw(spark, sf_dir)
+    text = text.withColumns({
+        "temp": F.when(clouds == 14, "warm").otherwise(F.col("temp").cast("string")),
+        "weather_description": F.when(clouds == 15, "heavy � rain").otherwise(F.col("weather_description")),
+        "traffic_volume": F.when(clouds == 13, "1,2").otherwise(F.col("traffic_volume").cast("string")),
+    })
+    text.write.option("header", True).option("quote", "\u0000").csv(path)
+    return path
+
+
+@query("quarantined_lines", sql("traffic_raw", """
+    SELECT CASE WHEN clouds_all IN (13, 14) THEN 'parse error' WHEN clouds_all = 15 THEN 'bad encoding' ELSE 'good' END AS reason,
+      count(*) AS n, count(*) AS with_text FROM traffic_raw GROUP BY 1"""))
+def quarantined_lines(spark, sf_dir):
+    """Broken lines go to a table with their reason, good ones onward."""
+    target = new_path(spark, "quarantine")
+    good = files.quarantine(spark, _planted(spark, sf_dir), target)
+    bad = spark.read.parquet(target).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.length("line") > 20).alias("with_text"))
+    counted = good.agg(F.lit("good").alias("reason"), F.count(F.lit(1)).alias("n"), F.count("weather_main").alias("with_text"))
+    return bad.unionByName(counted)
+
+
+@query("sink_featured_csv", sql("featured", f"""
+    SELECT year(ts) AS year, count(*) AS n, {r('sum(temp)', 2)} AS temp_sum, count(congestion_category) AS with_category FROM featured GROUP BY 1"""), digits=2)
+def sink_featured_csv(spark, sf_dir):
+    """The featured table of the batch job as CSV, read back."""
+    source, target = new_path(spark, "raw_csv"), new_path(spark, "tables")
+    inputs.raw(spark, sf_dir).write.option("header", True).csv(source)
+    jobs.run_pipeline(spark, source, target, keep_going=True, csv=True)
+    table = spark.read.option("header", True).schema(files.load_features(spark, f"{target}/featured").schema).csv(f"{target}/featured_csv")
+    return table.groupBy(F.year("ts").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("temp").alias("temp_sum"), F.count("congestion_category").alias("with_category")
+    )
+
+
+@query("refreshed_view", sql("traffic_raw traffic_hourly", """
+    , late AS (SELECT DISTINCT year(TRY_CAST(date_time AS TIMESTAMP)) AS year FROM traffic_raw WHERE clouds_all = 77 AND month(TRY_CAST(date_time AS TIMESTAMP)) = 2
+      AND year(TRY_CAST(date_time AS TIMESTAMP)) = 1996)
+    SELECT year(ts) AS year, count(*) AS hours, CAST(sum(traffic_volume) AS BIGINT) AS volume, year(ts) IN (FROM late) AS rewritten FROM traffic_hourly GROUP BY 1"""))
+def refreshed_view(spark, sf_dir):
+    """A catalog table of the hourly view after a second load that brings rows of one year: that year's folder alone is new."""
+    path, name = new_path(spark, "hourly_table"), f"hourly_{uuid.uuid4().hex}"
+    raw, at = inputs.raw(spark, sf_dir), C.parse_time(F.col("date_time"))
+    second = F.coalesce((F.col("clouds_all") == 77) & (F.month(at) == 2) & (F.year(at) == 1996), F.lit(False))
+    first = raw.filter(~second)
+    files.refresh_hourly_table(spark, first, first, path, name)
+    before = spark.table(name).select("year", F.col("_metadata.file_path").alias("file")).distinct()
+    before = stage(before, "files-before")
+    files.refresh_hourly_table(spark, raw, raw.filter(second), path, name)
+    kept = F.col("_metadata.file_path").alias("file")
+    table = spark.table(name).select("year", "traffic_volume", kept).join(F.broadcast(before.withColumn("old", F.lit(True))), ["year", "file"], "left")  # one row a file
+    return table.groupBy("year").agg(
+        F.count(F.lit(1)).alias("hours"), F.sum("traffic_volume").alias("volume"), (F.count("old") == 0).alias("rewritten")
+    )
+
+
 @query("verify_load", sql("traffic_raw", """
     SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(10 AS BIGINT) AS column_count,
       'corridor, holiday, temp, rain_1h, snow_1h, clouds_all, weather_main, weather_description, date_time, traffic_volume' AS columns,

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse import schema as S
+from roadpulse.functions import columns as C
 from roadpulse.operators import cleaning
+from roadpulse.sources.storage import stage
 
 _BROKEN = "_broken"
 
@@ -65,14 +67,10 @@ def load_problems(broken_kept: DataFrame) -> DataFrame:
     Counting the cells of every column makes the reader convert all of them;
     it would not notice a malformed value in a column nobody asks for.
     """
-    text = [f.name for f in broken_kept.schema if isinstance(f.dataType, T.StringType) and f.name != _BROKEN]
-    undecodable = F.lit(False)
-    for name in text:
-        undecodable = undecodable | F.coalesce(F.contains(F.col(name), F.lit("�")), F.lit(False))
     return broken_kept.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(_BROKEN).isNotNull()).alias("malformed"),
-        F.count_if(undecodable).alias("undecodable"),
+        F.count_if(_undecodable(broken_kept)).alias("undecodable"),
         *[F.count(c).alias(f"filled_{c}") for c in broken_kept.columns if c != _BROKEN],
     )
 
@@ -106,6 +104,31 @@ def load_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def quarantine(spark: SparkSession, path: str, target: str, corridor: int = 0) -> DataFrame:
+    """The good rows of a raw file; broken lines are added to the table at ``target`` with a reason and their text.
+
+    The file is read once and written as a table, from which both parts are taken.
+    """
+    loaded = stage(read_raw_csv(spark, path, corridor, keep_broken=True), "loaded")
+    cells = [c for c in loaded.columns if c != _BROKEN]
+    reason = F.when(F.col(_BROKEN).isNotNull(), "parse error").when(_undecodable(loaded), "bad encoding")
+    marked = loaded.withColumn("reason", reason)
+    line = F.coalesce(F.col(_BROKEN), F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells]))
+    marked.filter("reason IS NOT NULL").select(
+        "reason", line.alias("line"), F.lit(path).alias("source"), F.current_timestamp().alias("found_at")
+    ).write.mode("append").parquet(target)
+    return marked.filter("reason IS NULL").select(*cells)
+
+
+def _undecodable(df: DataFrame) -> Column:
+    """Whether any text of a row holds the character that stands for undecodable bytes."""
+    found = F.lit(False)
+    for field in df.schema:
+        if isinstance(field.dataType, T.StringType) and field.name != _BROKEN:
+            found = found | F.coalesce(F.contains(F.col(field.name), F.lit("�")), F.lit(False))
+    return found
+
+
 def create_hourly_view(raw: DataFrame, name: str = "traffic_hourly") -> DataFrame:
     """Register the hourly view, replacing an older one."""
     view = cleaning.hourly_from_raw(raw)
@@ -118,3 +141,20 @@ def load_hourly(spark: SparkSession, raw: DataFrame, name: str = "traffic_hourly
     if spark.catalog.tableExists(name):
         return spark.table(name)
     return cleaning.keep_first(cleaning.parse_times(cleaning.standardise_text(raw)))
+
+
+def refresh_hourly_table(spark: SparkSession, raw: DataFrame, changed: DataFrame, path: str, name: str = "traffic_hourly_table") -> list[int]:
+    """Bring a catalog table of the hourly view up to date with ``raw``; only years with rows in ``changed`` are rebuilt.
+
+    The table is kept by year at ``path``.  Returns the years that were rewritten, of which there are few.
+    """
+    year = F.year(C.parse_time(F.col("date_time")))
+    years = sorted(r[0] for r in changed.select(year.alias("year")).filter("year IS NOT NULL").distinct().collect())
+    if years:
+        rebuilt = cleaning.hourly_from_raw(raw.filter(year.isin(years))).withColumn("year", F.year(S.TS))
+        rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path, "parquet")
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return years

@@ -159,3 +159,33 @@ def test_saved_view_is_used_when_present(spark):
     assert set(files.load_hourly(spark, df).columns) == {"corridor", "ts", "traffic_volume", "temp", "holiday", "weather_main"}
     assert files.load_hourly(spark, df).select(F.min("traffic_volume")).first()[0] == 100
     spark.catalog.dropTempView("traffic_hourly")
+
+
+def test_broken_lines_go_to_quarantine(spark, tmp_path):
+    path, target = tmp_path / "a.csv", str(tmp_path / "bad")
+    short = ",".join(GOOD.split(",")[:3])
+    path.write_bytes(f"{HEADER}\n{GOOD}\n{short}\n{GOOD.replace('280.5', 'warm')}\n".encode() + GOOD.replace("few", "f\xff").encode("latin-1") + b"\n")
+    good = files.quarantine(spark, str(path), target)
+    assert [r.temp for r in good.collect()] == [280.5] and "_broken" not in good.columns
+    rows = spark.read.parquet(target).collect()
+    assert sorted(r.reason for r in rows) == ["bad encoding", "parse error", "parse error"]
+    assert short in {r.line for r in rows} and all(r.source == str(path) for r in rows)
+    # A second load adds to the table.
+    files.quarantine(spark, str(path), target)
+    assert spark.read.parquet(target).count() == 6
+
+
+def test_only_changed_years_of_a_catalog_table_are_rebuilt(spark, tmp_path):
+    path, name = str(tmp_path / "hourly"), "hourly_of_test"
+    old = raw(spark, [("2016-05-01 08:00:00", "Rain", 100, 280.0, 0.0, "None"), ("2017-05-01 08:00:00", "Rain", 200, 280.0, 0.0, "None")])
+    new = raw(spark, [("2017-05-01 08:00:00", "Rain", 50, 280.0, 0.0, "None"), ("not a date", "Rain", 1, 280.0, 0.0, "None")])
+    read = lambda: sorted((r.year, r.traffic_volume) for r in spark.table(name).select("year", "traffic_volume").collect())
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert files.refresh_hourly_table(spark, old, old, path, name) == [2016, 2017]
+    assert read() == [(2016, 100), (2017, 200)]
+    kept = {p.name for p in (tmp_path / "hourly" / "year=2016").iterdir()}
+    both = old.unionByName(new)
+    assert files.refresh_hourly_table(spark, both, new, path, name) == [2017]
+    assert read() == [(2016, 100), (2017, 50)] and {p.name for p in (tmp_path / "hourly" / "year=2016").iterdir()} == kept
+    assert files.refresh_hourly_table(spark, both, new.limit(0), path, name) == []
+    spark.sql(f"DROP TABLE {name}")
