@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from roadpulse.llm import bpe, jaccard, mixing, quality, secrets
 from roadpulse.llm.batches import bound_batches
 from roadpulse.llm.queries import BPE_RANKS, documents
-from roadpulse.sources.storage import stage
+from roadpulse.sources.storage import new_path, save, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,5 +64,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), name.replace(" ", "-"))
+        # Tables a stage keeps for itself go as soon as what it returns is written.
+        with scratch(spark):
+            docs = save(apply(spark, docs, sf_dir), new_path(spark, name.replace(" ", "-")))
     return STAGES[-1][1](spark, docs, sf_dir)
