@@ -38,6 +38,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Of eight hash values, those below this one take part in counting a document's own tokens.
 SAMPLE_OF_8 = 3
+#: Hashes of one range: a range is one group of binary rows in a task's memory, on both sides of the worker's pipe.
+RANGE_HASHES = 1 << 19
 #: Bytes of text hashed at once.
 HASHED_BYTES = 1 << 18
 #: Tokens in more documents than this are keyed by pairs, beyond the second by triples.
@@ -254,7 +256,7 @@ def _classes(df: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     sizes = stage(profiles(docs, k), "profiles")
     total = sizes.agg(F.sum("n_sampled")).first()[0] or 0
-    shared = _shared_tokens(docs, k, repeats.range_count(total))
+    shared = _shared_tokens(docs, k, repeats.range_count(total, RANGE_HASHES))
     nodes = (
         sizes.where("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("name").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("n_sampled").alias("n_sampled"))

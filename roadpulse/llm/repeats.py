@@ -22,8 +22,8 @@ _SENT = "range int, owners binary, counts binary, single binary, several binary"
 _ANSWER = "bucket int, owners binary, counts binary, hashes binary"
 
 
-def range_count(hashes: int) -> int:
-    return max(1, math.ceil(hashes / RANGE_HASHES))
+def range_count(hashes: int, range_hashes: int = RANGE_HASHES) -> int:
+    return max(1, math.ceil(hashes / range_hashes))
 
 
 def _row(name: int, keys: np.ndarray, owner_of: np.ndarray, hashes: np.ndarray, several: np.ndarray) -> tuple:
