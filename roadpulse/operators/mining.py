@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import schema as S
 from roadpulse.functions import columns as C
+from roadpulse.sources.storage import stage
 
 ATTRIBUTES = ["time_of_day", "day_type", "weather", "congestion"]
 _ANY = "*"
@@ -58,6 +60,24 @@ def frequent_itemsets(
     )
 
 
+def named_items(transactions: DataFrame, attributes: Sequence[str] = tuple(ATTRIBUTES)) -> DataFrame:
+    """Each row's ``attribute_value`` names as one array, without those of NULL attributes."""
+    return transactions.select(F.array_compact(F.array(*[F.concat(F.lit(f"{a}_"), F.col(a)) for a in attributes])).alias("items"))
+
+
+def pattern_itemsets(baskets: DataFrame, min_support: float = S.MIN_SUPPORT, items: str = "items") -> DataFrame:
+    """``(items, n, support)`` of frequent sets by frequent-pattern trees, items in order.
+
+    For baskets of any number of items, several of one kind among them, where a cube has no columns to stand on.  An
+    item counts once in a basket; empty and NULL baskets count as baskets.
+    """
+    listed = stage(baskets.select(F.coalesce(F.array_distinct(items), F.array().cast("array<string>")).alias("items")), "baskets")
+    total = listed.count()
+    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(listed)
+    found = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("n"))
+    return found.withColumn("support", C.ratio(F.col("n"), F.lit(total)))
+
+
 def _has(mask: Column, bit: int) -> Column:
     return mask.bitwiseAND(F.lit(bit)) != 0
 

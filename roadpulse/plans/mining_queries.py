@@ -57,6 +57,14 @@ def frequent_itemsets(spark, sf_dir):
     return mining.frequent_itemsets(mining.baskets(inputs.featured(spark, sf_dir)))
 
 
+@query("pattern_itemsets", sql("itemsets", f"""
+    SELECT array_to_string({_items('s.mask')}, ', ') AS items, n, {r('support')} AS support FROM itemsets s"""))
+def pattern_itemsets(spark, sf_dir):
+    """The same sets found by frequent-pattern trees."""
+    found = mining.pattern_itemsets(mining.named_items(mining.baskets(inputs.featured(spark, sf_dir))))
+    return found.withColumn("items", F.array_join("items", ", "))
+
+
 def _rules(spark, sf_dir):
     return mining.association_rules(frequent_itemsets(spark, sf_dir))
 

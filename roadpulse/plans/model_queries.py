@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from roadpulse import schema as S
@@ -10,7 +13,7 @@ from roadpulse.operators import clustering, drift, forest_nodes, metrics, model_
 from roadpulse.plans import inputs
 from roadpulse.plans.oracle import define, r, rounded, sql
 from roadpulse.plans.registry import query
-from roadpulse.sources.storage import new_path
+from roadpulse.sources.storage import new_path, save
 
 _FEATURES = ", ".join(f'"{f}"' for f in S.FEATURES)
 
@@ -701,10 +704,23 @@ def _vectors(spark, sf_dir):
     return clustering.assemble(clustering.weighted_points(points))
 
 
+def _clusters(spark, sf_dir):
+    """The published clusters with the best number of them, and the scores of all numbers tried."""
+    facts = {"candidates": "2 to 6"}
+
+    def fit():
+        model, scores = clustering.choose_k(_vectors(spark, sf_dir))
+        facts["scores"] = f"{inputs.model_registry(spark)}/scores-{uuid.uuid4().hex}"
+        save(scores, facts["scores"])
+        return PipelineModel([model])
+
+    model, entry = inputs.fitted(spark, sf_dir, "clusters", fit, facts)
+    return model.stages[0], spark.read.parquet(entry["params"]["scores"])
+
+
 @query("choose_k")
 def choose_k(spark, sf_dir):
-    _, table = clustering.choose_k(_vectors(spark, sf_dir))
-    return table
+    return _clusters(spark, sf_dir)[1]
 
 
 @query("kmeans_totals", sql("timed", """
@@ -713,7 +729,7 @@ def choose_k(spark, sf_dir):
 def kmeans_totals(spark, sf_dir):
     """Clusters divide the hours: weights and weighted sums over clusters are those of all hours."""
     vectors = _vectors(spark, sf_dir)
-    model, _ = clustering.choose_k(vectors)
+    model, _ = _clusters(spark, sf_dir)
     weight = F.col("weight")
     parts = model.transform(vectors).groupBy("cluster").agg(
         F.sum(weight).alias("n"), F.sum(weight * F.col("traffic_volume")).alias("v"), F.sum(weight * F.col("hour")).alias("h")
@@ -728,7 +744,7 @@ def kmeans_totals(spark, sf_dir):
 def kmeans(spark, sf_dir):
     """Mean hour, severity and volume per cluster with its description, for the number of clusters that fits best."""
     vectors = _vectors(spark, sf_dir)
-    model, _ = clustering.choose_k(vectors)
+    model, _ = _clusters(spark, sf_dir)
     summary = clustering.weighted_summary(model.transform(vectors))
     return summary.withColumn(
         "label", C.cluster_label(F.col("hour"), F.col("weather_severity"), F.col("traffic_volume"))

@@ -291,3 +291,14 @@ def test_sample_is_repeatable(spark):
     assert a == b and len(a) == 40
     flips = df.filter(drift.hashed_share(["corridor", "ts"], 600)).count()
     assert 230 < flips < 370
+
+
+def test_pattern_trees_count_sets_with_items_of_one_kind(spark):
+    rows = [(["a", "b", "c"],), (["a", "b", "b"],), (["b", "a"],), (["c"],), ([],), (None,), (["d"],), (["a", "c"],)]
+    df = spark.createDataFrame(rows, "items array<string>")
+    got = {tuple(r["items"]): (r.n, r.support) for r in mining.pattern_itemsets(df, 0.25).collect()}
+    assert got == {("a",): (4, 0.5), ("b",): (3, 0.375), ("c",): (3, 0.375), ("a", "b"): (3, 0.375), ("a", "c"): (2, 0.25)}
+    assert mining.pattern_itemsets(df.filter("items IS NULL"), 0.25).collect() == []
+    # Attributes of a row become items; a NULL attribute is none.
+    named = spark.createDataFrame([("x", None)], "u string, v string")
+    assert mining.named_items(named, ["u", "v"]).first()["items"] == ["u_x"]
