@@ -5,7 +5,9 @@ Pieces of similar length share a padded matrix of token ids.  Each round finds,
 the leftmost adjacent pair of least rank by one hashed look-up, merges it, and closes the gap;
 rows without a pair that merges leave the matrix.
 
-A null or empty text has no tokens; no other column is looked at, repeated rows give repeated results.
+A null or empty text has no tokens; no other column is looked at, repeated rows give repeated results.  A text of any
+length is one value, held with its ids; of pairs of equal rank the leftmost merges; an existing output column is
+replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations

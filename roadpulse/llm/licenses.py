@@ -11,7 +11,8 @@ distinct shingles that the text holds must reach the threshold.
 Templates are a parameter of bounded size (``MAX_KEYS`` band keys).  Defined cases: a null or empty
 text, or one of fewer than five words, holds none; a row without doc_id is reported with null; rows
 are judged one by one, so repeated rows give repeated results; a template of fewer than five words
-is refused; an empty table gives no rows.
+is refused; a text of any length is one row's arrays of words and hashes; a containment equal to the threshold counts;
+other columns are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ and dealt out by another hash, which shuffles the whole mix.
 
 Defined cases: a null source is a source of its own; a source without a given weight has weight 0;
 a null text counts no characters, and a source without any characters is left out; repeated rows
-draw the same count and each is replicated; a null doc_id draws from the text; an empty table gives none.
+draw the same count and each is replicated; a null doc_id draws from the text; a text of any length is
+measured, hashed and carried along; the order of copies with equal random places is open; columns of the input named
+``copy`` or ``position`` are replaced; an empty table gives none.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ match.  An anchor with very many different stretches, such as the edge of a pass
 everywhere, does not fit a shard; windows of these are compared by hash instead, in ranges.
 
 Defined cases: a null text has no words; a text of fewer words than the window loses nothing; rows
-with equal texts are different places, so each loses every word a window covers; other columns are
+with equal texts are different places, so each loses every word a window covers; a text of any length is one
+piece of work; ties cannot occur; columns named ``n_words``, ``n_removed`` or ``kept`` are replaced, others are
 kept as they are; an empty table gives no rows.
 """
 

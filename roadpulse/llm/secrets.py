@@ -10,7 +10,8 @@ texts have no findings; overlapping candidates do not occur, the leftmost match
 runs to the next blank, quote or other mark that ends it; a private key is one finding from BEGIN to
 END, after a name too; a text that
 repeats a candidate has a finding for each place; a text's rows share its findings; if only one
-label was found among the training findings all findings get it; an empty table gives no rows.
+label was found among the training findings all findings get it; a text of any length is one row, though the work of
+placing findings grows with the square of their number in one text; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
