@@ -39,7 +39,8 @@ HEADLINE = [
     "scenario_grid", "recommend_profile", "regression_metrics", "classification_metrics", "error_drift",
     "drift_report", "perturb_alert", "run_comparison", "best_run_per_model",
     "reg_linear", "clf_logistic", "clf_forest", "reg_gbt", "reg_lag_forest", "permutation_importance",
-    "choose_k", "kmeans", "batch_score_volume", "stream_clean", "stream_drift",
+    "choose_k", "kmeans", "batch_score_volume", "contribution_sums", "correlation_tests", "pattern_itemsets",
+    "stream_clean", "stream_drift", "stream_merge",
 ]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -531,7 +532,10 @@ def _measured(spark, sf_dir, name):
 
 def _trained_log(spark, sf_dir):
     """One logged run for each published model: a run is measured and logged once, by the first job that asks for it."""
-    entries = {name: _entry(spark, sf_dir, name)[1] for name in _FITS}
+    # The training tables first; fits that are still to be made then run side by side.
+    inputs.train_rows(spark, sf_dir), _lag_train(spark, sf_dir)
+    with ThreadPoolExecutor(len(_FITS)) as pool:
+        entries = dict(zip(_FITS, pool.map(lambda name: _entry(spark, sf_dir, name)[1], _FITS)))
     path = f"{inputs.model_registry(spark)}/runs"
     logged = model_store.runs_logged(spark, path)
     rows = []
