@@ -74,6 +74,18 @@ def _with_distribution(rates: DataFrame) -> DataFrame:
     return mean.select("source", "parts", cumulative.alias("cumulative"))
 
 
+def _count(identity: Column, seed: str) -> Column:
+    """Copies of a row: for each of its parts, the terms that a draw reaches.
+
+    Identity and draws are elements of arrays: the optimizer writes a column's expression into the
+    functions that use it, so a plain column would be hashed anew for every term of the distribution.
+    """
+    parts = F.sequence(F.lit(0), F.col("__parts") - 1)
+    draws = lambda who: F.transform(parts, lambda part: _uniform(F.lit(seed), who, part.cast("string")))
+    reached = lambda n, u: n + F.size(F.filter("__cumulative", lambda c: c <= u))
+    return F.element_at(F.transform(F.array(identity), lambda who: F.aggregate(draws(who), F.lit(0), reached)), 1)
+
+
 def replicate(df: DataFrame, rates: DataFrame, text: str = "text", source: str = "source", seed: str = SEED) -> DataFrame:
     """``df`` with each row repeated by its drawn count and ``copy`` from 1; rows that draw 0 are gone."""
     # Written, so that the join knows the size of this side before it deals out documents.
@@ -81,16 +93,12 @@ def replicate(df: DataFrame, rates: DataFrame, text: str = "text", source: str =
         F.col("source").alias("__source"), F.col("parts").alias("__parts"), F.col("cumulative").alias("__cumulative")
     )
     joined = df.join(drawn, F.col(source).eqNullSafe(F.col("__source")))
-    below = lambda part: F.size(F.filter("__cumulative", lambda c: c <= _uniform(F.lit(seed), _identity(text), part.cast("string"))))
-    one = F.size(F.filter("__cumulative", lambda c: c <= F.col("__u")))
-    more = F.aggregate(F.sequence(F.lit(1), F.greatest(F.col("__parts") - 1, F.lit(1))), F.lit(0), lambda s, k: s + below(k))
-    count = one + F.when(F.col("__parts") > 1, more).otherwise(F.lit(0))
+    # A null explodes to no row; a filter on the count would have the join count every row once more.
+    copies = F.when(F.col("__n") > 0, F.sequence(F.lit(1).cast("long"), F.col("__n").cast("long")))
     return (
-        joined.withColumn("__u", _uniform(F.lit(seed), _identity(text), F.lit("0")))
-        .withColumn("__n", count)
-        .where("__n > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n").cast("long"))))
-        .drop("__source", "__parts", "__cumulative", "__u", "__n")
+        joined.withColumn("__n", _count(_identity(text), seed))
+        .withColumn("copy", F.explode(copies))
+        .drop("__source", "__parts", "__cumulative", "__n")
     )
 
 

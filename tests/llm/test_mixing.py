@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import Counter
 
 from roadpulse.llm import mixing
@@ -59,3 +60,19 @@ def test_edge_cases(spark):
     assert Counter(r.doc_id for r in got)[2] % 2 == 0
     assert mixing.mix(df, {"s": 1.0}, budget=20.0).where("source is null").count() == 0
     assert mixing.mix(df.limit(0)).collect() == []
+
+
+def test_each_row_draws_once(spark):
+    df = spark.createDataFrame([(None, "text", "s", "", ""), (2, "t", "s", "", "")], SCHEMA)
+    plan = mixing.mix(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f"concat_ws(|, {mixing.SEED},") == 1
+    terms = re.findall(r"filter\(__cumulative#\d+, lambdafunction\((.*?), lambda", plan)
+    assert terms and not any("md5" in x for x in terms)
+
+
+def test_large_means_of_rows_without_id(spark):
+    df = spark.createDataFrame([(None, "x" * 10, "rare", "", ""), (2, "y" * 10_000, "big", "", "")], SCHEMA)
+    got = Counter(r.doc_id for r in mixing.mix(df, {"rare": 1.0, "big": 1.0}).collect())
+    rate, who = 10_010 / 2 / 10, hashlib.md5(b"x" * 10).hexdigest()
+    parts = math.ceil(rate / mixing.PART_MEAN)
+    assert got[None] == sum(inverse(draw(mixing.SEED, who, str(j)), rate / parts) for j in range(parts))
