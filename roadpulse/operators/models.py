@@ -16,11 +16,12 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse import schema as S
 from roadpulse.operators.metrics import regression_metrics
+from roadpulse.operators.scenarios import ASKED, every_scenario, scenario_features
 from roadpulse.sources.storage import stage
 
 LAG_COLUMNS = [f"lag_{k}" for k in range(1, S.LOOKBACK + 1)]
@@ -195,6 +196,24 @@ def score_risk(model: PipelineModel, scenarios: DataFrame, threshold: float = 0.
     }).drop("_risk")
 
 
+def scenario_answers(
+    spark: SparkSession, volume_model: PipelineModel | None = None, risk_model: PipelineModel | None = None
+) -> DataFrame:
+    """Every valid scenario with the answers of the given models, written once.
+
+    Requests outnumber what can be asked by far: they look their answers up (``scenarios.look_up``) instead of
+    each walking down every tree.
+    """
+    answers = scenario_features(every_scenario(spark))
+    if volume_model is not None:
+        answers = score_volume(volume_model, answers)
+    if risk_model is not None:
+        answers = score_risk(risk_model, answers)
+    # Features hold the holiday as a number, requests as yes or no.
+    answers = answers.withColumn("is_holiday", F.col("is_holiday").cast("boolean")).drop(*[f for f in S.FEATURES if f not in ASKED])
+    return stage(answers, "scenario_answers")
+
+
 # -- explanations ----------------------------------------------------------------------
 def linear_contributions(
     model: PipelineModel, df: DataFrame, features: Sequence[str] = tuple(S.FEATURES)

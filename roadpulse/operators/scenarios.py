@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse import schema as S
@@ -13,6 +13,8 @@ from roadpulse.operators.features import add_cyclical
 
 # A scenario names a day type, not a date: Wednesday and Saturday stand for it.
 _DAY_FOR = {"weekday": 2, "weekend": 5}
+# What a request asks; an answer depends on nothing else.
+ASKED = ("hour", "day_type", "weather", "is_holiday")
 
 
 def check_scenarios(df: DataFrame) -> DataFrame:
@@ -57,6 +59,19 @@ def scenario_features(df: DataFrame) -> DataFrame:
     )
 
 
+def every_scenario(spark: SparkSession) -> DataFrame:
+    """Every request that :func:`check_scenarios` lets pass, once: 24 hours x 2 day types x 11 kinds of weather x holiday or not."""
+    rows = spark.range(24).select(F.col("id").cast("int").alias("hour"))
+    for name, values in (("day_type", S.DAY_TYPES), ("weather", S.WEATHER_VALUES), ("is_holiday", [False, True])):
+        rows = rows.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
+    return rows
+
+
+def look_up(requests: DataFrame, answers: DataFrame) -> DataFrame:
+    """Validated requests, each with the answers to what it asks; ``answers`` has a row for each of :func:`every_scenario`."""
+    return requests.join(F.broadcast(answers), list(ASKED), "left")  # 1,056 rows
+
+
 def all_hours(scenarios: DataFrame) -> DataFrame:
     """Each scenario at each hour of the day, by a generator instead of a join."""
     return scenarios.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))

@@ -151,10 +151,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scenario_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scenario request per raw observation, some of them invalid."""
-    part = F.col("clouds_all")
-    df = raw(spark, sf_dir)
-    hour = F.coalesce(F.hour(C.parse_time(F.col("date_time"))), F.lit(24))
-    weekend = C.is_weekend(C.parse_time(F.col("date_time")))
+    part, at = F.col("clouds_all"), F.col("_at")
+    # As in ``parse_times``: checks of the hour and the day type read the parsed time instead of the text, time and again.
+    df = raw(spark, sf_dir).select("*", F.explode(F.array(C.parse_time(F.col("date_time")))).alias("_at"))
+    hour = F.coalesce(F.hour(at), F.lit(24))
+    weekend = C.is_weekend(at)
     return df.select(
         "corridor",
         hour.alias("hour"),
