@@ -647,18 +647,24 @@ def _valid_requests(spark, sf_dir):
     return scenarios.scenario_features(scenarios.valid_scenarios(inputs.scenario_requests(spark, sf_dir)))
 
 
+def _answered(spark, sf_dir, **by):
+    """Valid requests with the answers of the given models."""
+    answers = models.scenario_answers(spark, **by)
+    requests = scenarios.valid_scenarios(inputs.scenario_requests(spark, sf_dir))
+    return scenarios.look_up(requests, answers).withColumn("is_holiday", F.col("is_holiday").cast("int"))
+
+
 _ASKED = ["corridor", "hour", "weather", "day_type", "is_holiday"]
 
 
 @query("batch_score_volume")
 def batch_score_volume(spark, sf_dir):
-    scored = models.score_volume(_boosting(spark, sf_dir), _valid_requests(spark, sf_dir))
-    return scored.select(*_ASKED, "predicted_traffic_volume")
+    return _answered(spark, sf_dir, volume_model=_boosting(spark, sf_dir)).select(*_ASKED, "predicted_traffic_volume")
 
 
 @query("batch_score_risk")
 def batch_score_risk(spark, sf_dir):
-    scored = models.score_risk(_forest(spark, sf_dir), _valid_requests(spark, sf_dir))
+    scored = _answered(spark, sf_dir, risk_model=_forest(spark, sf_dir))
     return scored.select(*_ASKED, "high_risk_probability", "high_risk_prediction")
 
 
@@ -666,14 +672,14 @@ def batch_score_risk(spark, sf_dir):
     SELECT day_type, weather, is_holiday, count(*) FILTER (reason IS NULL) AS volume_answers, count(*) FILTER (reason IS NULL) AS risk_answers,
       TRUE AS in_range FROM checked_scenarios WHERE reason IS NULL GROUP BY ALL"""))
 def batch_score_counts(spark, sf_dir):
-    """Answers of both batch scorers by situation."""
-    by = ["day_type", "weather", "is_holiday"]
-    volume = batch_score_volume(spark, sf_dir).groupBy(*by).agg(F.count("predicted_traffic_volume").alias("volume_answers"))
+    """Answers of both batch scorers by situation, in one pass over the requests."""
+    scored = _answered(spark, sf_dir, volume_model=_boosting(spark, sf_dir), risk_model=_forest(spark, sf_dir))
     share = F.col("high_risk_probability")
-    risk = batch_score_risk(spark, sf_dir).groupBy(*by).agg(
-        F.count(share).alias("risk_answers"), F.min((share >= 0) & (share <= 1)).alias("in_range")
+    counts = scored.groupBy("day_type", "weather", "is_holiday").agg(
+        F.count("predicted_traffic_volume").alias("volume_answers"), F.count(share).alias("risk_answers"),
+        F.min((share >= 0) & (share <= 1)).alias("in_range"),
     )
-    return volume.join(risk, by).withColumn("is_holiday", F.col("is_holiday").cast("boolean"))
+    return counts.withColumn("is_holiday", F.col("is_holiday").cast("boolean"))
 
 
 @query("scenario_curves")

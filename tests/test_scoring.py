@@ -55,3 +55,21 @@ def test_stream_scores_a_repeated_request_once(spark, fits, tmp_path):
     assert scored.count() == 3 * (len(every) + len(filled)) and _same(scored, by_row.select(answers))
     assert dict(scored.drop("batch").dtypes) == dict(by_row.select(answers).dtypes)
     assert _same(spark.read.parquet(f"{out}/rejected"), scenarios.rejected_scenarios(asked))
+
+
+def test_batches_score_a_repeated_request_once(spark, fits, monkeypatch):
+    volume, risk = map(Watched, fits)
+    monkeypatch.setattr(model_queries, "_boosting", lambda *_: volume)
+    monkeypatch.setattr(model_queries, "_forest", lambda *_: risk)
+    counts = QUERIES["batch_score_counts"](spark, SF_DIR)
+    assert compare(counts, connect(SF_DIR), ORACLES["batch_score_counts"]) == ""
+    assert (volume.rows, risk.rows) == (CAN_BE_ASKED, CAN_BE_ASKED)
+    # One pass over the requests, their time parsed once.
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(") == 1
+
+    asked = scenarios.scenario_features(scenarios.valid_scenarios(inputs.scenario_requests(spark, SF_DIR)))
+    for name, by_row in (("batch_score_volume", models.score_volume(fits[0], asked)), ("batch_score_risk", models.score_risk(fits[1], asked))):
+        scored = QUERIES[name](spark, SF_DIR)
+        by_row = by_row.select([F.col(c).cast(t) for c, t in scored.dtypes])
+        assert scored.count() > CAN_BE_ASKED and _same(scored, by_row)
