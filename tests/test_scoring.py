@@ -73,3 +73,23 @@ def test_batches_score_a_repeated_request_once(spark, fits, monkeypatch):
         scored = QUERIES[name](spark, SF_DIR)
         by_row = by_row.select([F.col(c).cast(t) for c, t in scored.dtypes])
         assert scored.count() > CAN_BE_ASKED and _same(scored, by_row)
+
+
+def test_replay_of_the_stream_walks_trees_for_what_can_be_asked(spark, fits, tmp_path, monkeypatch):
+    published = {}
+    for name, model in zip(("boosting", "forest"), fits):
+        models.save_model(model, str(tmp_path / name))
+        published[name] = Watched(model), {"path": str(tmp_path / name)}
+    monkeypatch.setattr(model_queries, "_entry", lambda spark, sf_dir, name: published[name])
+    replayed = QUERIES["stream_score_replay"](spark, SF_DIR)
+    assert compare(replayed, connect(SF_DIR), ORACLES["stream_score_replay"]) == ""
+    assert [model.rows for model, _ in published.values()] == [CAN_BE_ASKED, CAN_BE_ASKED]
+
+    # One wrong or missing answer among all is found, in its own situation.
+    stream = replay_queries.scored_stream
+    odd = (F.col("hour") == 3) & (F.col("day_type") == "weekend") & (F.col("weather") == "Clouds") & (F.col("is_holiday") == 0)
+    for column, answer in (("high_risk_probability", F.col("high_risk_probability") + 0.001), ("predicted_traffic_volume", F.lit(None))):
+        wrong = stream(spark, SF_DIR).withColumn(column, F.when(odd, answer).otherwise(F.col(column)))
+        monkeypatch.setattr(replay_queries, "scored_stream", lambda *_: wrong)
+        found = QUERIES["stream_score_replay"](spark, SF_DIR).filter("NOT equal").collect()
+        assert [(r.day_type, r.weather, r.is_holiday) for r in found] == [("weekend", "Clouds", 0)]
